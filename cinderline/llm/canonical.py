@@ -135,6 +135,11 @@ def _restore(text: str) -> str:
     return WORD.sub(lambda m: _restored_word(m.group(), mostly), text)
 
 
+def skeleton(text: str) -> str:
+    """canonical() with every look-alike letter as the Latin one, whatever the script of its word."""
+    return text if text.isascii() and "\r" not in text else _splice(text)
+
+
 def canonical(text: str) -> str:
     """The one form of all texts that look like this one.
 

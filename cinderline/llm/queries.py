@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.text import fire_label, fire_number
 from ..sources.tables import one_record, table
 from .canonical import canonical_text
+from .leakage import leaked_items
 from .lookalike import look_classes, lookalike_pairs
 from .splits import linked_nodes, name_key, split_together
+from .tokens import encode_corpus
 
 PARTS = {"test": 0.1, "validation": 0.1, "train": 0.8}
 
@@ -34,6 +36,18 @@ def p3_splits(spark: SparkSession, folder: str) -> DataFrame:
     return split_together(_points(spark, folder), key="point_id", links=_ties(), parts=PARTS).select("point_id", "split")
 
 
+def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_corpus(table(spark, folder, "documents"), key="doc_id", text="text")
+
+
+def p7_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"), key="doc_id", text="text", item="item_id", passage="passage", question="question")
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p7_leaks(spark, folder).select("doc_id", "item_id")
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike_pairs(table(spark, folder, "documents"), key="doc_id", text="text")
 
@@ -48,5 +62,5 @@ def p8_classes(spark: SparkSession, folder: str) -> DataFrame:
     return look_classes(table(spark, folder, "documents"), key="doc_id", text="text")
 
 
-QUERIES = {"p3_found": p3_found, "p3_splits": p3_splits, "p8_found": p8_found, "p8_canonical": p8_canonical, "p8_classes": p8_classes}
+QUERIES = {"p3_found": p3_found, "p3_splits": p3_splits, "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks": p7_leaks, "p8_found": p8_found, "p8_canonical": p8_canonical, "p8_classes": p8_classes}
 SQL = {}
