@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import fire_label, fire_number
+from ..functions.text import fire_label, fire_number, period_label
 from ..sources.tables import one_record, table
 from .canonical import canonical_text
 from .leakage import leaked_items
 from .lookalike import look_classes, lookalike_pairs
+from .quantiles import merge_sketches, read_quantiles, sketch_groups
 from .splits import linked_nodes, name_key, split_together
 from .tokens import encode_corpus
 
@@ -36,6 +37,25 @@ def p3_splits(spark: SparkSession, folder: str) -> DataFrame:
     return split_together(_points(spark, folder), key="point_id", links=_ties(), parts=PARTS).select("point_id", "split")
 
 
+SHARES = {"p01": 0.01, "p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
+
+
+def _nbr_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """One sketch per fire, period and year of load; a redelivered row counts in the year of its first load."""
+    rows = one_record(table(spark, folder, "chart_rows").select("obs_id", "fire_id", "period", "nbr", "loaded_at").where("nbr is not null"), "obs_id")
+    return sketch_groups(rows, groups={"fire_id": F.col("fire_id"), "period": period_label("period"), "load": F.year("loaded_at")}, value=F.col("nbr"))
+
+
+def p4_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Percentiles of nbr per fire and period, from the merged sketches of all loads."""
+    return read_quantiles(merge_sketches(_nbr_sketches(spark, folder), ["fire_id", "period"]), SHARES)
+
+
+def p4_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """The same of each load by itself."""
+    return read_quantiles(_nbr_sketches(spark, folder), SHARES)
+
+
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"), key="doc_id", text="text")
 
@@ -62,5 +82,5 @@ def p8_classes(spark: SparkSession, folder: str) -> DataFrame:
     return look_classes(table(spark, folder, "documents"), key="doc_id", text="text")
 
 
-QUERIES = {"p3_found": p3_found, "p3_splits": p3_splits, "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks": p7_leaks, "p8_found": p8_found, "p8_canonical": p8_canonical, "p8_classes": p8_classes}
+QUERIES = {"p3_found": p3_found, "p3_splits": p3_splits, "p4_percentiles": p4_percentiles, "p4_loads": p4_loads, "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks": p7_leaks, "p8_found": p8_found, "p8_canonical": p8_canonical, "p8_classes": p8_classes}
 SQL = {}
