@@ -59,9 +59,9 @@ def fire_number(col: Column | str) -> Column:
     return F.when(digits != "", digits.try_cast("bigint"))
 
 
-def fire_label(number: Column) -> Column:
-    """fire_NNN with three digits at least."""
-    return F.when(number.isNotNull(), F.format_string("fire_%03d", number))
+def fire_label(number: Column, digits: int = 3) -> Column:
+    """fire_NNN with so many digits at least; null stays null."""
+    return F.when(number.isNotNull(), F.format_string(f"fire_%0{digits}d", number))
 
 
 def period_label(col: Column | str) -> Column:
