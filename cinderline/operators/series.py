@@ -9,20 +9,23 @@ MIN_LENGTH = 5
 MARGIN = 4
 
 
-def ts_features(series: DataFrame, *, pixel: str, order: list[str], time: Column, nbr: str) -> DataFrame:
+def ts_features(series: DataFrame, *, pixel: str, order: list[str], time: Column, nbr: str, key: str | None = None) -> DataFrame:
     """(pixel, max_drop, date_drop, dnbr) of each pixel with at least five readings that are not null.
 
     max_drop is the least difference between consecutive readings, the first of equal ones; date_drop the time of
     the reading after it; dnbr the median of up to four readings before that one minus the median of up to four after it,
-    null where it is the last. The last column of `order` should break ties; null pixels or times are left out.
+    null where it is the last. The last column of `order` should break ties; null pixels or times are left out. With key,
+    rows next to each other in this order with the same key are one reading.
 
     One shuffle on pixel serves all windows and the aggregation. Windows sort and spill, so a pixel with very many readings
     is never held in memory at once.
     """
-    rows = series.select(F.col(pixel).alias("__p"), *[F.col(c).alias(f"__o{k}") for k, c in enumerate(order)], time.alias("__t"), F.col(nbr).cast("double").alias("__x"))
+    rows = series.select(F.col(pixel).alias("__p"), *[F.col(c).alias(f"__o{k}") for k, c in enumerate(order)], time.alias("__t"), F.col(nbr).cast("double").alias("__x"), (F.col(key) if key else F.lit(None)).alias("__k"))
     rows = rows.where("__p is not null and __t is not null and __x is not null and not isnan(__x)")
     w = Window.partitionBy("__p").orderBy(*[f"__o{k}" for k in range(len(order))])
     whole = Window.partitionBy("__p")
+    if key:
+        rows = rows.withColumn("__again", F.lag("__k").over(w)).where(~F.col("__k").eqNullSafe(F.col("__again")) | F.col("__k").isNull())
     rows = rows.withColumns({"__i": F.row_number().over(w), "__d": F.col("__x") - F.lag("__x").over(w)})
     rows = rows.withColumn("__drop", F.min(F.when(F.col("__d").isNotNull(), F.struct("__d", "__i"))).over(whole))
     at = F.col("__drop.__i")

@@ -24,11 +24,16 @@ from .training_data import DAY_SQL, FIRE_SQL
 ROUND = 12  # digits of results that sum in no fixed order
 
 
-# Readings of chart_rows: one row per reading, with its day.
+def _rows(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Readings of chart_rows with their day; redelivered ones are still repeated, which extremes do not mind."""
+    rows = table(spark, folder, "chart_rows").select("obs_id", "pixel_id", "date", "nbr", *columns).where("nbr is not null and not isnan(nbr) and abs(nbr) <= 1")
+    return rows.withColumn("day", parse_date("date")).where("day is not null").drop("date")
+
+
 def _readings(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    rows = table(spark, folder, "chart_rows").select("obs_id", "pixel_id", "date", "nbr", "loaded_at", *columns).where("nbr is not null and not isnan(nbr) and abs(nbr) <= 1")
-    rows = rows.withColumn("day", parse_date("date")).where("day is not null").drop("date")
-    return one_record(rows, "obs_id")
+    """One row per reading: redelivered rows differ in loaded_at alone. Every column is a key of the hash aggregation, so
+    nothing is sorted and a pixel with very many readings is spread over all tasks."""
+    return _rows(spark, folder, *columns).distinct()
 
 
 READINGS_SQL = f"""
@@ -41,7 +46,7 @@ FRAC_SQL = "year({0}) + CAST(dayofyear({0}) - 1 AS DOUBLE) / CAST(date_diff('day
 
 
 def ts_features(spark: SparkSession, folder: str) -> DataFrame:
-    found = S.ts_features(_readings(spark, folder), pixel="pixel_id", order=["day", "obs_id"], time=D.frac_year(F.col("day")).cast("float").cast("double"), nbr="nbr")
+    found = S.ts_features(_rows(spark, folder), pixel="pixel_id", order=["day", "obs_id"], key="obs_id", time=D.frac_year(F.col("day")).cast("float").cast("double"), nbr="nbr")
     return found.withColumns({c: F.round(c, ROUND) for c in ("max_drop", "dnbr")})
 
 
@@ -213,7 +218,7 @@ fires AS (SELECT entity, polygon_id, description, pre_upr, post_lwr, CAST((pre_u
 
 def fire_dnbr(spark: SparkSession, folder: str) -> DataFrame:
     """dNBR of each pixel in the windows of its fire."""
-    obs = _readings(spark, folder, "fire_id").withColumn("entity", fire_number("fire_id")).select("pixel_id", "entity", "day", "nbr")
+    obs = _readings(spark, folder, "fire_id").select("pixel_id", fire_number("fire_id").alias("entity"), "day", "nbr")
     fires = _fires(spark, folder).select("entity", "pre_lwr", "pre_end", "post_lwr", "post_end")
     rows = Tr.left_lookup(obs, fires, "entity")
     inside = {"pre": (F.col("day") >= F.col("pre_lwr")) & (F.col("day") < F.col("pre_end")), "post": (F.col("day") >= F.col("post_lwr")) & (F.col("day") < F.col("post_end"))}
@@ -317,12 +322,12 @@ def veg_at_fire(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def series_limits(spark: SparkSession, folder: str) -> DataFrame:
-    out = S.series_limits(_readings(spark, folder), ["pixel_id"], "nbr")
+    out = S.series_limits(_rows(spark, folder), ["pixel_id"], "nbr")
     return out.select("pixel_id", F.round("y_min", ROUND).alias("y_min"), F.round("y_max", ROUND).alias("y_max"))
 
 
 def chart_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _readings(spark, folder, "period").select("day", period_label("period").alias("period"), "nbr")
+    rows = _rows(spark, folder, "period").select("day", period_label("period").alias("period"), "nbr")
     out = S.chart_table(rows, "day", "period", ["Background", "Pre-fire", "Post-fire"], "nbr")
     return out.select("day", F.col("Background").alias("background"), F.col("Pre-fire").alias("pre_fire"), F.col("Post-fire").alias("post_fire"))
 
