@@ -35,9 +35,14 @@ def parse_date(col: Column | str) -> Column:
     """DATE from yyyy-MM-dd (also with a time after it), yyyy/MM/dd, yyyyMMdd, yyyy-DDD, dd/MM/yyyy or d-M-yyyy.
 
     Where the year stands last, the day comes first. Anything else, null, and days that do not exist give null.
+    The plain layout is told by its length and hyphens; only other texts are trimmed (once) and matched with patterns.
     """
-    s = trim_blank(col)
+    c = F.col(col) if isinstance(col, str) else col
+    plain = (F.length(c) == 10) & (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-")
+    return F.when(plain, c.try_cast("date")).otherwise(F.transform(F.array(trim_blank(c)), _other_layouts)[0])
 
+
+def _other_layouts(s: Column) -> Column:
     def day_first(sep: str) -> Column:
         return F.concat_ws("-", F.split_part(s, F.lit(sep), F.lit(3)), F.split_part(s, F.lit(sep), F.lit(2)), F.split_part(s, F.lit(sep), F.lit(1))).try_cast("date")
 
