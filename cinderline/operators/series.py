@@ -5,27 +5,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 MIN_LENGTH = 5
 MARGIN = 4
 
 
-def ts_features(series: DataFrame, *, pixel: str, order: list[str], time: Column, nbr: str, key: str | None = None) -> DataFrame:
+def ts_features(series: DataFrame, *, pixel: str, order: list[str], time: Column, nbr: str, key: str | None = None, max_series: int = 1_000_000) -> DataFrame:
     """(pixel, max_drop, date_drop, dnbr) of each pixel with at least five readings that are not null.
 
     max_drop is the least difference between consecutive readings, the first of equal ones; date_drop the time of
     the reading after it; dnbr the median of up to four readings before that one minus the median of up to four after it,
     null where it is the last. The last column of `order` should break ties; null pixels or times are left out. With key,
-    rows next to each other in this order with the same key are one reading.
+    rows that are equal in order, key, time and value are one reading.
 
-    One shuffle on pixel serves all windows and the aggregation. Windows sort and spill, so a pixel with very many readings
-    is never held in memory at once.
+    One shuffle on pixel serves all windows and the aggregation; windows sort and spill, so no series is held in memory.
+    Pixels with more than max_series rows, told by a count per pixel, are spread over many tasks instead (_long_features).
     """
-    rows = series.select(F.col(pixel).alias("__p"), *[F.col(c).alias(f"__o{k}") for k, c in enumerate(order)], time.alias("__t"), F.col(nbr).cast("double").alias("__x"), (F.col(key) if key else F.lit(None)).alias("__k"))
+    columns = [f"__o{k}" for k in range(len(order))]
+    rows = series.select(
+        F.col(pixel).alias("__p"), *[F.col(c).alias(n) for c, n in zip(order, columns)], time.alias("__t"), F.col(nbr).cast("double").alias("__x"), (F.col(key) if key else F.lit(None)).alias("__k")
+    )
     rows = rows.where("__p is not null and __t is not null and __x is not null and not isnan(__x)")
-    w = Window.partitionBy("__p").orderBy(*[f"__o{k}" for k in range(len(order))])
+    sizes = series.where(F.col(pixel).isNotNull()).groupBy(F.col(pixel).alias("__p")).count().where(F.col("count") > max_series).select("__p")
+    if not sizes.limit(1).count():
+        found = _short_features(rows, columns, key is not None)
+    else:
+        short, long = rows.join(sizes, "__p", "left_anti"), rows.join(sizes, "__p", "left_semi")
+        found = _short_features(short, columns, key is not None).unionByName(_long_features(long, columns, key is not None))
+    return found.select(F.col("__p").alias(pixel), "max_drop", "date_drop", "dnbr")
+
+
+def _short_features(rows: DataFrame, order: list[str], keyed: bool) -> DataFrame:
+    w = Window.partitionBy("__p").orderBy(*order)
     whole = Window.partitionBy("__p")
-    if key:
-        rows = rows.withColumn("__again", F.lag("__k").over(w)).where(~F.col("__k").eqNullSafe(F.col("__again")) | F.col("__k").isNull())
+    if keyed:
+        same = F.struct(*order, "__k", "__t", "__x")
+        rows = rows.withColumn("__again", F.lag(same).over(w)).where(F.col("__k").isNull() | ~same.eqNullSafe(F.col("__again")))
     rows = rows.withColumns({"__i": F.row_number().over(w), "__d": F.col("__x") - F.lag("__x").over(w)})
     rows = rows.withColumn("__drop", F.min(F.when(F.col("__d").isNotNull(), F.struct("__d", "__i"))).over(whole))
     at = F.col("__drop.__i")
@@ -35,7 +51,32 @@ def ts_features(series: DataFrame, *, pixel: str, order: list[str], time: Column
         F.max(F.when(F.col("__i") == at, F.col("__t"))).alias("date_drop"),
         (F.median(F.when(F.col("__i").between(at - MARGIN, at - 1), F.col("__x"))) - F.median(F.when(F.col("__i").between(at + 1, at + MARGIN), F.col("__x")))).alias("dnbr"),
     )
-    return found.where(F.col("__n") >= MIN_LENGTH).select(F.col("__p").alias(pixel), "max_drop", "date_drop", "dnbr")
+    return found.where(F.col("__n") >= MIN_LENGTH).drop("__n")
+
+
+def _long_features(rows: DataFrame, order: list[str], keyed: bool) -> DataFrame:
+    """The same for very long series: rows are range-partitioned in their order, so a series is cut into blocks anywhere;
+    each block gets the last value before it, the least difference is a mergeable minimum, and the readings beside it are the
+    first few of a ranking, which is cut before its shuffle."""
+    if keyed:
+        rows = rows.where("__k is null").unionByName(rows.where("__k is not null").distinct())
+    # The cut points are sampled, so the blocks are written down before they are used twice.
+    placed = cut_lineage(rows.drop("__k").repartitionByRange("__p", *order).withColumn("__block", F.spark_partition_id()))
+    position = F.struct(*order)
+    by_block = Window.partitionBy("__p").orderBy("__block")
+    edges = placed.groupBy("__p", "__block").agg(F.max_by("__x", position).alias("__last")).withColumn("__before", F.lag("__last").over(by_block)).drop("__last")
+    inside = Window.partitionBy("__p", "__block").orderBy(*order)
+    steps = placed.join(edges, ["__p", "__block"]).withColumn("__d", F.col("__x") - F.coalesce(F.lag("__x").over(inside), F.col("__before")))
+    best = steps.groupBy("__p").agg(F.count("*").alias("__n"), F.min(F.when(F.col("__d").isNotNull(), F.struct("__d", position.alias("__at"), "__t"))).alias("__drop")).where(F.col("__n") >= MIN_LENGTH)
+    best = cut_lineage(best.select("__p", "__drop.*"))
+    beside = placed.select("__p", "__x", position.alias("__o")).join(best.select("__p", "__at"), "__p")
+
+    def side(cond: Column, nearest: Column, name: str) -> DataFrame:
+        ranked = beside.where(cond).withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy(nearest))).where(F.col("__r") <= MARGIN)
+        return ranked.groupBy("__p").agg(F.median("__x").alias(name))
+
+    out = best.join(side(F.col("__o") < F.col("__at"), F.desc("__o"), "__pre"), "__p", "left").join(side(F.col("__o") > F.col("__at"), F.asc("__o"), "__post"), "__p", "left")
+    return out.select("__p", F.col("__d").alias("max_drop"), F.col("__t").alias("date_drop"), (F.col("__pre") - F.col("__post")).alias("dnbr"))
 
 
 def _median_of(values: Column) -> Column:
