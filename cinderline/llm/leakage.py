@@ -160,17 +160,19 @@ def common_words(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def whole_match(passage: np.ndarray, window: np.ndarray, rules: LeakRules) -> int:
-    """Words of the passage found in order in the densest stretch of the window of about its length; 0 if too few."""
+    """Most words of the passage found in order in a stretch of the window of a quarter more than its length; 0 if too few.
+
+    Stretches begin so close to each other that a passage with words put in, up to an eighth, lies in one.
+    """
     n = len(passage)
     least = n - int(rules.changed * n + 1e-9)
-    span = min(len(window), n + n // 8 + 2)
-    known = np.r_[0, np.cumsum(np.isin(window, passage))]
-    inside = known[span:] - known[:-span] if span else known[:1]
-    if not span or inside.max() < least:
+    span, step = min(len(window), n + n // 4 + 2), max(1, n // 8)
+    if span < least:
         return 0
-    best = 0
-    for s in np.flatnonzero(inside == inside.max())[[0, -1]]:
-        best = max(best, common_words(passage, window[s : s + span]))
+    known = np.r_[0, np.cumsum(np.isin(window, passage))]
+    starts = np.unique(np.r_[np.arange(0, len(window) - span + 1, step), len(window) - span])
+    starts = starts[known[starts + span] - known[starts] >= least]
+    best = max((common_words(passage, window[s : s + span]) for s in starts.tolist()), default=0)
     return best if best >= least else 0
 
 
