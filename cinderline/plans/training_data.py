@@ -45,6 +45,11 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return p2_faults(spark, folder).select("obs_id")
 
 
+def p2_bounds_stuck(spark: SparkSession, folder: str) -> DataFrame:
+    """Impossible and stuck readings alone."""
+    return p2_faults(spark, folder).where("fault <> 'spike'")
+
+
 def p5_grid(spark: SparkSession, folder: str) -> DataFrame:
     return monthly_grid(table(spark, folder, "chart_rows"), source="pixel_id", day=parse_date("date"), value="nbr", key="obs_id")
 
@@ -85,11 +90,18 @@ g AS (SELECT pixel_id, m, n, lead(m) OVER (PARTITION BY pixel_id ORDER BY m) AS
 f AS (SELECT pixel_id, unnest(range(m + 1, m2)) AS m, m2 - m - 1 AS gap FROM g WHERE m2 > m + 1)
 """
 
-QUERIES = {"p1_found": p1_found, "p1_asof": p1_asof, "p2_found": p2_found, "p2_faults": p2_faults, "p5_found": p5_found, "p5_states": p5_states, "p5_grid": p5_grid}
+QUERIES = {"p1_found": p1_found, "p1_asof": p1_asof, "p2_found": p2_found, "p2_faults": p2_faults, "p2_bounds_stuck": p2_bounds_stuck, "p5_found": p5_found, "p5_states": p5_states, "p5_grid": p5_grid}
 
 SQL = {
     "p1_found": ASOF_SQL + "SELECT point_id, revision_id FROM m WHERE k = 1",
     "p1_asof": ASOF_SQL + "SELECT p.point_id, m.revision_id, m.pre_upr FROM p LEFT JOIN m ON m.point_id = p.point_id AND m.k = 1",
+    "p2_bounds_stuck": f"""
+WITH t AS (SELECT DISTINCT pixel_id, obs_id, nbr, trim(date, ' \t\n\r' || chr(160)) AS s FROM chart_rows WHERE nbr IS NOT NULL),
+d AS (SELECT pixel_id, obs_id, nbr, {DAY_SQL} AS d FROM t WHERE nbr BETWEEN -1 AND 1),
+c AS (SELECT pixel_id, obs_id, d, CASE WHEN round(nbr, 6) = lag(round(nbr, 6)) OVER (PARTITION BY pixel_id ORDER BY d, obs_id) THEN 0 ELSE 1 END AS fresh FROM d WHERE d IS NOT NULL AND pixel_id IS NOT NULL),
+r AS (SELECT pixel_id, obs_id, sum(fresh) OVER (PARTITION BY pixel_id ORDER BY d, obs_id) AS run FROM c)
+SELECT obs_id, 'stuck' AS fault FROM r QUALIFY count(*) OVER (PARTITION BY pixel_id, run) >= 8
+UNION ALL SELECT DISTINCT obs_id, 'bounds' FROM t WHERE isnan(nbr) OR nbr NOT BETWEEN -1 AND 1""",
     "p5_found": MONTHS_SQL + "SELECT pixel_id, printf('%04d-%02d', m // 12, m % 12 + 1) AS month FROM f",
     "p5_states": MONTHS_SQL
     + """SELECT pixel_id, printf('%04d-%02d', m // 12, m % 12 + 1) AS month, n AS n_readings, 'read' AS state FROM m
