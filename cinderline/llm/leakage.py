@@ -183,9 +183,10 @@ def _contains(window: np.ndarray, part: np.ndarray | None) -> bool:
     return any((window[i : i + len(part)] == part).all() for i in at)
 
 
-def find_leaks(index: LeakIndex, texts: list[str | None]) -> list[tuple[int, int, int, bool, bool]]:
-    """(text, item, words, whole, question): numbers of text and item, most words found, whether the passage is there as a
-    whole (with changes), and whether the item's question is in the text too. One row per text and item."""
+def find_leaks(index: LeakIndex, texts: list[str | None]) -> list[tuple[int, int, bool, int, bool]]:
+    """(text, item, run, words, question): numbers of text and item, whether a run of the passage is there, how many of its
+    words are there if it is there as a whole (with changes), else 0, and whether the item's question is in the text too.
+    One row per text and item."""
     rules = index.rules
     lists = [[index.vocabulary.get(w, -1) for w in words(t)] if t else [] for t in texts]
     length = np.array([len(x) for x in lists], np.int64)
@@ -195,21 +196,22 @@ def find_leaks(index: LeakIndex, texts: list[str | None]) -> list[tuple[int, int
     for d, s, i in zip(*(x.tolist() for x in retrieve(index, tokens, length, rules.run, index.need_run))):
         window = tokens[s : min(s + 2 * rules.run, offset[d] + length[d])].tolist()
         if any(tuple(window[k : k + rules.run]) in index.grams[i] for k in range(len(window) - rules.run + 1)):
-            found.setdefault((d, i), [rules.run, False])
+            found.setdefault((d, i), [True, 0])
     longest = max((len(p) for p in index.passages), default=0)
     width = longest + longest // 8 + 2
     for d, s, i in zip(*(x.tolist() for x in retrieve(index, tokens, length, width, index.need_whole))):
         many = whole_match(index.passages[i], tokens[s : min(s + 2 * width, offset[d] + length[d])], rules)
         if many:
-            was = found.setdefault((d, i), [0, False])
-            was[0], was[1] = max(was[0], many), True
-    return [(d, i, many, whole, _contains(tokens[offset[d] : offset[d] + length[d]], index.questions[i])) for (d, i), (many, whole) in sorted(found.items())]
+            was = found.setdefault((d, i), [False, 0])
+            was[1] = max(was[1], many)
+    return [(d, i, run, many, _contains(tokens[offset[d] : offset[d] + length[d]], index.questions[i])) for (d, i), (run, many) in sorted(found.items())]
 
 
 def leaked_items(
     documents: DataFrame, items: DataFrame, *, key: str, text: str, item: str, passage: str, question: str | None = None, rules: LeakRules = LeakRules(), shard_chars: int = 20_000_000, batch_chars: int = 4_000_000
 ) -> DataFrame:
-    """(key, item, words, whole, question_found), one row per document and item that it leaks.
+    """(key, item, run, words, question_found), one row per document and item that it leaks: run tells whether a run of the
+    passage is there, words how many of its words if it is there as a whole, else 0.
 
     A leak is a run of rules.run words of the passage, or the passage as a whole with at most the allowed share of words
     changed. Case, accents, punctuation, line breaks and differences that cannot be seen do not count. Null, empty and
@@ -224,7 +226,7 @@ def leaked_items(
     shards = max(1, -(-total // shard_chars))
     types = dict(documents.dtypes)[key], dict(items.dtypes)[item]
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    out = pa.schema([("k", arrow[types[0]]), ("i", arrow[types[1]]), ("words", pa.int32()), ("whole", pa.bool_()), ("question_found", pa.bool_())])
+    out = pa.schema([("k", arrow[types[0]]), ("i", arrow[types[1]]), ("run", pa.bool_()), ("words", pa.int32()), ("question_found", pa.bool_())])
     texts = documents.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("t").isNotNull() & (F.col("t") != ""))
     result = None
     for shard in range(shards):
@@ -246,6 +248,6 @@ def leaked_items(
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
                     at = end
 
-        part = texts.mapInArrow(search, f"k {types[0]}, i {types[1]}, words int, whole boolean, question_found boolean")
+        part = texts.mapInArrow(search, f"k {types[0]}, i {types[1]}, run boolean, words int, question_found boolean")
         result = part if result is None else result.unionByName(part)
-    return result.groupBy(F.col("k").alias(key), F.col("i").alias(item)).agg(F.max("words").alias("words"), F.max("whole").alias("whole"), F.max("question_found").alias("question_found"))
+    return result.groupBy(F.col("k").alias(key), F.col("i").alias(item)).agg(F.max("run").alias("run"), F.max("words").alias("words"), F.max("question_found").alias("question_found"))

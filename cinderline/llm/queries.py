@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import fire_label, fire_number, period_label
+from ..functions.text import BLANK, INVISIBLE, fire_label, fire_number, period_label
 from ..sources.tables import one_record, table
-from .canonical import canonical_text
+from .canonical import SINGLE, canonical_text
 from .leakage import leaked_items
 from .lookalike import look_classes, lookalike_pairs
 from .quantiles import merge_sketches, read_quantiles, sketch_groups
-from .splits import linked_nodes, name_key, split_together
+from .splits import NOBODY, linked_nodes, name_key, split_together
 from .tokens import encode_corpus
 
 PARTS = {"test": 0.1, "validation": 0.1, "train": 0.8}
@@ -51,6 +51,11 @@ def p4_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     return read_quantiles(merge_sketches(_nbr_sketches(spark, folder), ["fire_id", "period"]), SHARES)
 
 
+def p4_extent(spark: SparkSession, folder: str) -> DataFrame:
+    """What the merged sketches know exactly: number, least and greatest value."""
+    return read_quantiles(merge_sketches(_nbr_sketches(spark, folder), ["fire_id", "period"]), {"low": 0.0, "high": 1.0})
+
+
 def p4_loads(spark: SparkSession, folder: str) -> DataFrame:
     """The same of each load by itself."""
     return read_quantiles(_nbr_sketches(spark, folder), SHARES)
@@ -64,6 +69,11 @@ def p7_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"), key="doc_id", text="text", item="item_id", passage="passage", question="question")
 
 
+def p7_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaks of twelve words in a row alone."""
+    return p7_leaks(spark, folder).where("run").select("doc_id", "item_id")
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return p7_leaks(spark, folder).select("doc_id", "item_id")
 
@@ -82,5 +92,57 @@ def p8_classes(spark: SparkSession, folder: str) -> DataFrame:
     return look_classes(table(spark, folder, "documents"), key="doc_id", text="text")
 
 
-QUERIES = {"p3_found": p3_found, "p3_splits": p3_splits, "p4_percentiles": p4_percentiles, "p4_loads": p4_loads, "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks": p7_leaks, "p8_found": p8_found, "p8_canonical": p8_canonical, "p8_classes": p8_classes}
-SQL = {}
+QUERIES = {
+    "p3_found": p3_found,
+    "p3_splits": p3_splits,
+    "p4_percentiles": p4_percentiles,
+    "p4_extent": p4_extent,
+    "p4_loads": p4_loads,
+    "p6_ids": p6_ids,
+    "p7_found": p7_found,
+    "p7_runs": p7_runs,
+    "p7_leaks": p7_leaks,
+    "p8_found": p8_found,
+    "p8_canonical": p8_canonical,
+    "p8_classes": p8_classes,
+}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _skeleton_sql(column: str) -> str:
+    """The look-alike form of a text in SQL: characters mapped one by one, line ends, composition."""
+    one = {chr(c): to for c, to in SINGLE.items() if len(to) == 1}
+    more = {chr(c): to for c, to in SINGLE.items() if len(to) > 1}
+    gone = "".join(chr(c) for c, to in SINGLE.items() if not to)
+    mapped = lambda x: f"translate({x}, {_quoted(''.join(one) + gone)}, {_quoted(''.join(one.values()))})"
+    out = column
+    for char, to in more.items():
+        out = f"replace({out}, {_quoted(char)}, {_quoted(to)})"
+    out = f"replace(replace({mapped(out)}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+    return mapped(f"nfc_normalize({out})")
+
+
+NAME_SQL = f"""list_sort(list_distinct(list_filter(regexp_split_to_array(lower(strip_accents(regexp_replace(author, '{INVISIBLE}', '', 'g'))), '({BLANK}|,)+'), lambda w: w <> '')))"""
+def _words_sql(column: str) -> str:
+    return f"regexp_extract_all(lower(strip_accents({_skeleton_sql(column)})), '[\\p{{L}}\\p{{N}}]+')"
+
+
+SQL = {
+    "p3_found": f"""WITH RECURSIVE a AS (SELECT DISTINCT try_cast(nullif(regexp_extract(fire_id, '([0-9]+)', 1), '') AS BIGINT) AS n, {NAME_SQL} AS words FROM training_locations),
+p AS (SELECT n, array_to_string(words, ' ') AS author FROM a WHERE n IS NOT NULL AND len(list_filter(words, lambda w: regexp_matches(w, '\p{{L}}') AND w NOT IN ({", ".join(map(_quoted, NOBODY))}))) > 0),
+e AS (SELECT DISTINCT p.n AS x, q.n AS y FROM p JOIN p q USING (author) WHERE p.n <> q.n),
+r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT printf('fire_%03d', x) AS fire_id_a, printf('fire_%03d', y) AS fire_id_b FROM r WHERE x < y""",
+    "p4_extent": """WITH t AS (SELECT DISTINCT obs_id, fire_id, regexp_replace(lower(period), '[^a-z]', '', 'g') AS p, nbr FROM chart_rows WHERE nbr IS NOT NULL),
+u AS (SELECT *, CASE p WHEN 'prefire' THEN 'Pre-fire' WHEN 'postfire' THEN 'Post-fire' WHEN 'background' THEN 'Background' END AS period FROM t)
+SELECT fire_id, period, count(*) AS n, min(nbr) AS low, max(nbr) AS high FROM u WHERE NOT isnan(nbr) GROUP BY fire_id, period""",
+    "p7_runs": f"""WITH i AS (SELECT item_id, {_words_sql("passage")} AS w FROM eval_items WHERE passage IS NOT NULL), d AS (SELECT doc_id, {_words_sql("text")} AS w FROM documents WHERE text IS NOT NULL),
+gi AS (SELECT DISTINCT item_id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM i)),
+gd AS (SELECT doc_id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM d))
+SELECT DISTINCT doc_id, item_id FROM gd JOIN gi USING (g)""",
+    "p8_found": f"""WITH d AS (SELECT doc_id, text, {_skeleton_sql("text")} AS look FROM documents WHERE text IS NOT NULL), v AS (SELECT * FROM d WHERE regexp_matches(look, '[^\s]'))
+SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM v a JOIN v b ON a.look = b.look AND a.doc_id < b.doc_id AND a.text <> b.text""",
+}

@@ -62,8 +62,8 @@ def test_all_leaks_and_nothing_else():
     leaks = find_leaks(index, [t for _, t in docs])
     got = {(d, index.items[i]) for d, i, *_ in leaks}
     assert got == expected
-    assert {(d, index.items[i]) for d, i, n, whole, _ in leaks if n >= 12 and not (whole and n < 0)} >= exact(docs)
-    assert sum(whole for *_, whole, _ in leaks) >= 80
+    assert {(d, index.items[i]) for d, i, run, *_ in leaks if run} == exact(docs)
+    assert {(d, index.items[i]) for d, i, _, n, _ in leaks if n} == {(d, i) for d, i in expected if d % 6 in (2, 3)}
 
 
 def test_bounds_lose_no_window():
