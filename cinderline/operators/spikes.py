@@ -23,7 +23,9 @@ class SpikeRules:
     high: float = 1.0
     factor: float = 6.0  # a spike stands off by so many scatters; estimates of the scatter are rough, so under the nominal ten
     min_scatter: float = 0.003  # resolution of the sensor
-    max_gap: float = 60.0  # days to the neighbours of a spike
+    max_gap: float = 72.0  # days between the readings of a spike and its neighbours
+    span: float = 80.0  # days from the neighbour before to the one after, of one reading
+    span2: float = 112.0  # and of two
     back: float = 0.5  # neighbours before and after differ by at most this share of the spike's height
     run: int = 8  # equal values in a row that count as stuck
     digits: int = 6  # equality of stuck values
@@ -142,10 +144,11 @@ def spikes(group: np.ndarray, t: np.ndarray, u: np.ndarray, still: np.ndarray, n
     need = rules.factor * np.fmax(scatter, rules.min_scatter)[group]
     with np.errstate(invalid="ignore"):
         near = (t - t1 <= rules.max_gap) & (t3 - t <= rules.max_gap)
+        brief, brief2 = t3 - t1 <= rules.span, t4 - t1 <= rules.span2
         height = np.minimum(np.abs(u - before), np.abs(u - after))
-        single = near & (height >= need) & (np.abs(after - before) <= rules.back * height)
+        single = near & brief & (height >= need) & (np.abs(after - before) <= rules.back * height)
         height = np.minimum(np.minimum(np.abs(u - before), np.abs(u - after2)), np.minimum(np.abs(after - before), np.abs(after - after2)))
-        double = near & (t4 - t3 <= rules.max_gap) & (height >= need) & (np.abs(after2 - before) <= rules.back * height)
+        double = near & brief2 & (t4 - t3 <= rules.max_gap) & (height >= need) & (np.abs(after2 - before) <= rules.back * height)
     double &= candidates | np.r_[candidates[1:], False]
     second = np.r_[False, double[:-1]]
     return (single & candidates) | double | second
