@@ -18,7 +18,7 @@ def components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
     tree can be dropped. The tables are checkpointed each round, so a lost executor repeats one round at most.
     Repeated edges, loops and null ends are allowed: null ends tie nothing, but the other end is a node.
     """
-    pairs = edges.select("u", "v")
+    pairs = cut_lineage(edges.select("u", "v").distinct())
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).where("node is not null").distinct()
     parent = cut_lineage(nodes.select("node", F.col("node").alias("parent")))
     live = pairs.where("u is not null and v is not null and u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
