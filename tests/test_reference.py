@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cinderline.operators import burned, composite, indices, landcover, prep, series, timeutil, training
 from cinderline.schema import OLI_BANDS, OPTICAL, SCHEME_A, SCHEME_B, TM_BANDS, raw_schema
-from cinderline.sources.tables import bbox_overlap, one_record, write_csv, write_table
+from cinderline.sources.tables import bbox_overlap, one_delivery, one_record, write_csv, write_table
 
 T0 = dt.datetime(2015, 1, 1)
 HEALTHY, BURNED, NEGATIVE = [8400, 9200, 8900, 18200, 13100, 10100], [8900, 9500, 10100, 11800, 15200, 14900], [7300, 7600, 7200, 15000, 11000, 9000]
@@ -175,6 +175,9 @@ def test_records_and_files(spark, tmp_path):
     df = spark.createDataFrame(rows, "k bigint, v string, loaded_at timestamp")
     got = one_record(df, "k")
     assert got.columns == df.columns and sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], *rows[2:]], key=str)
+    again = one_delivery(df, "k")
+    assert again.columns == df.columns and sorted(map(tuple, again.collect()), key=str) == sorted([rows[0], *rows[2:]], key=str)
+    assert one_delivery(df.limit(0), "k").count() == one_record(df.limit(0), "k").count() == 0
     write_csv(got.select("k", "v"), f"{tmp_path}/csv")
     assert spark.read.option("header", True).csv(f"{tmp_path}/csv").count() == 4
     write_table(df, f"{tmp_path}/parts", ["v"])
