@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import BLANK, INVISIBLE, fire_label, fire_number, period_label
-from ..sources.tables import one_record, table
+from ..sources.tables import one_delivery, one_record, table
 from .canonical import SINGLE, canonical_text
 from .leakage import leaked_items
 from .lookalike import look_classes, lookalike_pairs
@@ -42,8 +42,8 @@ SHARES = {"p01": 0.01, "p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95":
 
 def _nbr_sketches(spark: SparkSession, folder: str) -> DataFrame:
     """One sketch per fire, period and year of load; a redelivered row counts in the year of its first load."""
-    rows = one_record(table(spark, folder, "chart_rows").select("obs_id", "fire_id", "period", "nbr", "loaded_at").where("nbr is not null"), "obs_id")
-    return sketch_groups(rows, groups={"fire_id": F.col("fire_id"), "period": period_label("period"), "load": F.year("loaded_at")}, value=F.col("nbr"))
+    rows = table(spark, folder, "chart_rows").select("obs_id", "fire_id", period_label("period").alias("period"), "nbr", "loaded_at").where("nbr is not null")
+    return sketch_groups(one_delivery(rows, "obs_id"), groups={"fire_id": F.col("fire_id"), "period": F.col("period"), "load": F.year("loaded_at")}, value=F.col("nbr"))
 
 
 def p4_percentiles(spark: SparkSession, folder: str) -> DataFrame:
