@@ -31,6 +31,7 @@ def ts_features(series: DataFrame, *, pixel: str, order: list[str], time: Column
     if not sizes.limit(1).count():
         found = _short_features(rows, columns, key is not None)
     else:
+        rows, sizes = cut_lineage(rows), cut_lineage(sizes)  # both are read more than once
         short, long = rows.join(sizes, "__p", "left_anti"), rows.join(sizes, "__p", "left_semi")
         found = _short_features(short, columns, key is not None).unionByName(_long_features(long, columns, key is not None))
     return found.select(F.col("__p").alias(pixel), "max_drop", "date_drop", "dnbr")

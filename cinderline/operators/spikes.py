@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 GAUSS = 1.4826  # scale of the median absolute deviation for normal scatter
 
 
@@ -233,7 +235,8 @@ def flag_faults(readings: DataFrame, *, source: str, day: Column, value: str, ke
 
     Readings are shuffled once, on source. A source with more than max_series readings is cut into stretches of about that
     many rows in its order, each with the neighbouring rows of the stretches beside it, so bounds, stuck runs and the
-    neighbours of spikes come out the same; scatter and ellipses are those of the stretch. Whether such sources exist is
+    neighbours of spikes come out the same; scatter and ellipses are those of the stretch
+    (one day's readings are parted only by keys that are whole numbers). Whether such sources exist is
     one count per source; nothing else goes to the driver.
     """
     rows = readings.select(F.col(source).alias("source"), F.datediff(day, F.lit("1970-01-01").cast("date")).alias("day"), F.col(value).cast("double").alias("value"), F.col(key).alias("key"))
@@ -255,9 +258,8 @@ def flag_faults(readings: DataFrame, *, source: str, day: Column, value: str, ke
 def _stretches(rows: DataFrame, hot_sources: DataFrame, hot: int, most: int, max_series: int, halo: int) -> DataFrame:
     """rows with block and halo: sources in hot_sources cut at quantiles of their order, with margins of halo rows."""
     parts = -(-most // max_series)
-    span = rows.agg(F.max(F.hash("key"))).first()[0] is not None
-    numeric = dict(rows.dtypes)["key"] != "string"
-    top = rows.agg(F.max("key")).first()[0] if numeric and span else None
+    rows = cut_lineage(rows)  # read several times below
+    top = rows.agg(F.max("key")).first()[0] if dict(rows.dtypes)["key"] != "string" else None
     frac = F.col("key") / F.lit(float(top) + 1) if top and top > 0 else F.lit(0.0)
     rows = rows.withColumn("pos", F.coalesce(F.col("day"), F.lit(0)) + F.greatest(frac, F.lit(0.0)))
     small = hot * parts <= 1_000_000
