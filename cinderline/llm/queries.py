@@ -132,7 +132,7 @@ def _words_sql(column: str) -> str:
 
 SQL = {
     "p3_found": f"""WITH RECURSIVE a AS (SELECT DISTINCT try_cast(nullif(regexp_extract(fire_id, '([0-9]+)', 1), '') AS BIGINT) AS n, {NAME_SQL} AS words FROM training_locations),
-p AS (SELECT n, array_to_string(words, ' ') AS author FROM a WHERE n IS NOT NULL AND len(list_filter(words, lambda w: regexp_matches(w, '\p{{L}}') AND w NOT IN ({", ".join(map(_quoted, NOBODY))}))) > 0),
+p AS (SELECT n, array_to_string(words, ' ') AS author FROM a WHERE n IS NOT NULL AND len(list_filter(words, lambda w: regexp_matches(w, '\\p{{L}}') AND w NOT IN ({", ".join(map(_quoted, NOBODY))}))) > 0),
 e AS (SELECT DISTINCT p.n AS x, q.n AS y FROM p JOIN p q USING (author) WHERE p.n <> q.n),
 r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
 SELECT printf('fire_%03d', x) AS fire_id_a, printf('fire_%03d', y) AS fire_id_b FROM r WHERE x < y""",
@@ -143,6 +143,6 @@ SELECT fire_id, period, count(*) AS n, min(nbr) AS low, max(nbr) AS high FROM u
 gi AS (SELECT DISTINCT item_id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM i)),
 gd AS (SELECT doc_id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM d))
 SELECT DISTINCT doc_id, item_id FROM gd JOIN gi USING (g)""",
-    "p8_found": f"""WITH d AS (SELECT doc_id, text, {_skeleton_sql("text")} AS look FROM documents WHERE text IS NOT NULL), v AS (SELECT * FROM d WHERE regexp_matches(look, '[^\s]'))
+    "p8_found": f"""WITH d AS (SELECT doc_id, text, {_skeleton_sql("text")} AS look FROM documents WHERE text IS NOT NULL), v AS (SELECT * FROM d WHERE regexp_matches(look, '[^\\s]'))
 SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM v a JOIN v b ON a.look = b.look AND a.doc_id < b.doc_id AND a.text <> b.text""",
 }
