@@ -208,7 +208,7 @@ def find_leaks(index: LeakIndex, texts: list[str | None]) -> list[tuple[int, int
 
 
 def leaked_items(
-    documents: DataFrame, items: DataFrame, *, key: str, text: str, item: str, passage: str, question: str | None = None, rules: LeakRules = LeakRules(), shard_chars: int = 20_000_000, batch_chars: int = 4_000_000
+    documents: DataFrame, items: DataFrame, *, key: str, text: str, item: str, passage: str, question: str | None = None, rules: LeakRules = LeakRules(), shard_chars: int = 1_000_000, batch_chars: int = 4_000_000
 ) -> DataFrame:
     """(key, item, run, words, question_found), one row per document and item that it leaks: run tells whether a run of the
     passage is there, words how many of its words if it is there as a whole, else 0.
@@ -218,7 +218,8 @@ def leaked_items(
     blank texts and passages leak nothing; repeated documents or items count once; an empty table gives no rows.
 
     The documents are not shuffled; only leaks are. The index of the items is broadcast in shards of at most shard_chars
-    characters of passage (one longer passage is a shard alone), each a pass over the documents, so its size is bounded.
+    characters of passage (one longer passage is a shard alone), each a pass over the documents, so its size is bounded: its
+    largest part, terms by blocks of items, then takes some tens of MB.
     """
     spark = documents.sparkSession
     source = items.select(F.col(item), (F.col(question) if question else F.lit(None).cast("string")).alias("q"), F.col(passage).alias("p")).where("p is not null")

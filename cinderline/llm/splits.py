@@ -61,7 +61,7 @@ def closest_counts(sizes: dict[int, int], target: int, max_bits: int = 1 << 22)
     mask = (1 << (bits + 1)) - 1
     reach, trail = 1, []
     for size, many in sorted(sizes.items(), reverse=True):
-        step, k, left = size // unit, 1, many
+        step, k, left = (2 * size + unit) // (2 * unit), 1, many
         if not step:
             continue
         left = min(left, bits // step)
@@ -83,14 +83,16 @@ def closest_counts(sizes: dict[int, int], target: int, max_bits: int = 1 << 22)
             at -= step
     if unit > 1:
         spare = target - sum(s * c for s, c in counts.items())
+        while spare < 0:  # sizes were rounded, so the units may hide an excess
+            taken = sorted(s for s, c in counts.items() if c)
+            size = next((s for s in taken if s >= -spare), taken[-1])
+            less = min(counts[size], -(spare // size))
+            counts[size] -= less
+            spare += size * less
         for size in sorted(sizes, reverse=True):
-            more = max(0, min(sizes[size] - counts[size], spare // size))
+            more = min(sizes[size] - counts[size], spare // size)
             counts[size] += more
             spare -= size * more
-        for size in sorted(sizes):  # sizes were rounded down, so the units may hide an excess
-            while spare < 0 and counts[size] and size <= -spare:
-                counts[size] -= 1
-                spare += size
     return {s: c for s, c in counts.items() if c}
 
 

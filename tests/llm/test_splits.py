@@ -37,7 +37,7 @@ def least(labels):
     return {n: min(g) for g in groups.values() for n in g}
 
 
-@pytest.mark.parametrize("seed,n,m", [(0, 60, 40), (1, 200, 150), (2, 30, 60)])
+@pytest.mark.parametrize("seed,n,m", [(0, 60, 40), (1, 200, 150)])
 def test_components_against_union_find(spark, seed, n, m):
     rng = random.Random(seed)
     node = lambda: f"n{rng.randrange(n):03d}"
