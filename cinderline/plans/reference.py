@@ -355,8 +355,9 @@ def point_chart(spark: SparkSession, folder: str) -> DataFrame:
     points = Tr.left_lookup(points, _fires(spark, folder).select("entity", "pre_lwr", "pre_upr", "post_lwr", "post_end"), "entity").drop("fire_id", "loaded_at")
     obs = _readings(spark, folder).select("pixel_id", "day", "nbr")
     period = D.period_tag(F.col("day"), F.col("pre_lwr"), F.col("pre_upr"), F.col("post_lwr"), F.col("post_end"))
-    rows = obs.join(points, "pixel_id").select("point_id", F.date_format("day", "yyyy-MM-dd").alias("date"), period.alias("period"), "nbr")
-    return rows.groupBy("point_id", "date", "period").agg(F.round(F.avg("nbr"), ROUND).alias("nbr"))
+    rows = obs.join(points, "pixel_id").select("point_id", "day", period.alias("period"), "nbr")
+    means = rows.groupBy("point_id", "day", "period").agg(F.round(F.avg("nbr"), ROUND).alias("nbr"))
+    return means.select("point_id", F.date_format("day", "yyyy-MM-dd").alias("date"), "period", "nbr")
 
 
 def points_union_meta(spark: SparkSession, folder: str) -> DataFrame:
