@@ -233,47 +233,55 @@ def flag_faults(readings: DataFrame, *, source: str, day: Column, value: str, ke
     left out; rows with the same key are one reading; readings of one day are taken in order of key. key is a whole number
     or a string; rows with a null key cannot be named and are left out. An empty table gives no rows.
 
-    Readings are shuffled once, on source. A source with more than max_series readings is cut into stretches of about that
-    many rows in its order, each with the neighbouring rows of the stretches beside it, so bounds, stuck runs and the
-    neighbours of spikes come out the same; scatter and ellipses are those of the stretch
-    (one day's readings are parted only by keys that are whole numbers). Whether such sources exist is
-    one count per source; nothing else goes to the driver.
+    Readings are shuffled once, on source. A source with more than max_series rows loses its copies and its readings out
+    of bounds first, and if more than max_series are left is cut into stretches of so many, each with the
+    neighbouring readings of the stretches beside it, so stuck runs and the neighbours of spikes come out the same; scatter
+    and ellipses are those of the stretch. Whether such sources exist is one count per source; nothing else goes to the driver.
     """
     rows = readings.select(F.col(source).alias("source"), F.datediff(day, F.lit("1970-01-01").cast("date")).alias("day"), F.col(value).cast("double").alias("value"), F.col(key).alias("key"))
     rows = rows.where(
         F.col("value").isNotNull() & F.col("key").isNotNull() & ((F.col("day").isNotNull() & F.col("source").isNotNull()) | ~F.col("value").between(rules.low, rules.high) | F.isnan("value"))
     )
     sizes = readings.where(F.col(source).isNotNull()).groupBy(F.col(source).alias("source")).count().where(F.col("count") > max_series)
-    hot, most = sizes.agg(F.count("*"), F.max("count")).first()
+    hot = sizes.count()
+    aside = None
     if hot:
-        rows = _stretches(rows, sizes.select("source"), hot, most, max_series, 2 * rules.run)
+        rows, aside = _stretches(rows, sizes.select("source"), hot, max_series, 2 * rules.run, rules)
     else:
-        rows = rows.withColumns({"block": F.lit(0), "halo": F.lit(False)})
+        rows = rows.withColumns({"block": F.lit(0).cast("bigint"), "halo": F.lit(False)})
     key_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[dict(rows.dtypes)["key"]]
     placed = rows.repartition("source", "block").sortWithinPartitions("source", "block", "day", "key")
     flagged = placed.mapInArrow(_kernel(rules, key_type, batch_rows), f"key {dict(rows.dtypes)['key']}, fault string")
+    flagged = flagged if aside is None else flagged.unionByName(aside)
     return flagged.groupBy(F.col("key").alias(key)).agg(F.min("fault").alias("fault"))
 
 
-def _stretches(rows: DataFrame, hot_sources: DataFrame, hot: int, most: int, max_series: int, halo: int) -> DataFrame:
-    """rows with block and halo: sources in hot_sources cut at quantiles of their order, with margins of halo rows."""
-    parts = -(-most // max_series)
-    rows = cut_lineage(rows)  # read several times below
-    top = rows.agg(F.max("key")).first()[0] if dict(rows.dtypes)["key"] != "string" else None
-    frac = F.col("key") / F.lit(float(top) + 1) if top and top > 0 else F.lit(0.0)
-    rows = rows.withColumn("pos", F.coalesce(F.col("day"), F.lit(0)) + F.greatest(frac, F.lit(0.0)))
-    small = hot * parts <= 1_000_000
-    hint = F.broadcast if small else (lambda d: d)
-    cuts = (
-        rows.join(hint(hot_sources), "source", "left_semi")
-        .groupBy("source")
-        .agg(F.array_distinct(F.percentile_approx("pos", [i / parts for i in range(1, parts)], 10_000)).alias("cuts"))
-    )
-    rows = rows.join(hint(cuts), "source", "left").withColumn("block", F.when(F.col("cuts").isNull(), 0).otherwise(F.size(F.filter("cuts", lambda c: c <= F.col("pos")))))
-    cool, busy = rows.where("cuts is null"), rows.where("cuts is not null")
-    order = Window.partitionBy("source", "block")
-    head = busy.withColumn("n", F.row_number().over(order.orderBy("pos", "key"))).where(F.col("n") <= halo).withColumn("block", F.col("block") - 1)
-    tail = busy.withColumn("n", F.row_number().over(order.orderBy(F.desc("pos"), F.desc("key")))).where(F.col("n") <= halo).withColumn("block", F.col("block") + 1)
+def _stretches(rows: DataFrame, hot_sources: DataFrame, hot: int, max_series: int, halo: int, rules: SpikeRules) -> tuple[DataFrame, DataFrame]:
+    """(rows with block and halo, rows out of bounds as (key, fault)).
+
+    Sources in hot_sources lose their copies and their rows out of bounds first; those that then still have more than
+    max_series readings are cut into stretches of just so many, in order of day, then key, with margins of halo readings.
+    Of a key that is delivered with several values for one day the least counts.
+    """
+    hint = F.broadcast if hot <= 1_000_000 else (lambda d: d)
+    hot_sources = hint(cut_lineage(hot_sources))
+    busy, cool = rows.join(hot_sources, "source", "left_semi"), rows.join(hot_sources, "source", "left_anti")
+    usable = F.col("value").between(rules.low, rules.high)
+    aside = busy.where(~usable).select("key", F.lit("bounds").alias("fault"))
+    one = busy.where(usable).groupBy("source", "day", "key").agg(F.min("value").alias("value"))
+    # the place of a reading in its source: its place in the part of a range-partitioned table, after those of earlier parts
+    one = cut_lineage(one.repartitionByRange("source", "day", "key").sortWithinPartitions("source", "day", "key").withColumn("id", F.monotonically_increasing_id()))
+    one = one.withColumn("part", F.shiftright("id", 33))
+    parts = one.groupBy("source", "part").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    whole = Window.partitionBy("source")
+    parts = parts.select("source", "part", (F.sum("n").over(whole.orderBy("part")) - F.col("n") - F.col("first")).alias("shift"), F.sum("n").over(whole).alias("size"))
+    width = max(max_series, halo)
+    n = F.col("id") + F.col("shift")
+    one = one.join(hint(parts), ["source", "part"]).withColumns({"n": n % width, "block": F.when(F.col("size") > width, F.floor(n / width)).otherwise(0)})
     keep = ["source", "block", "day", "value", "key"]
+    cut = one.where(F.col("size") > width)
+    head = cut.where((F.col("n") < halo) & (F.col("block") > 0)).withColumn("block", F.col("block") - 1)
+    tail = cut.where(F.col("n") >= width - halo).withColumn("block", F.col("block") + 1)
     margin = head.select(*keep).unionByName(tail.select(*keep)).withColumn("halo", F.lit(True))
-    return cool.unionByName(busy).select(*keep).withColumn("halo", F.lit(False)).unionByName(margin)
+    cool = cool.withColumn("block", F.lit(0).cast("bigint"))
+    return cool.select(*keep).unionByName(one.select(*keep)).withColumn("halo", F.lit(False)).unionByName(margin), aside

@@ -96,3 +96,16 @@ def test_phase_space_flags_spikes_of_every_series():
     u[at] += 0.4
     assert phase_space_candidates(np.repeat(np.arange(50), 40), u, 50, SpikeRules())[at].all()
     assert list(judge(np.zeros(0), np.zeros(0), np.zeros(0), np.zeros(0), SpikeRules())) == []
+
+
+def test_copies_at_a_cut_take_no_place_in_the_margins(spark):
+    v = noise(300, 11)
+    v[146:154] = [0.4321] * 8
+    for i in (99, 199):
+        v[i] = -0.3
+    rows = series(1, v)
+    rows += [rows[i] for i in (100, 150, 200) for _ in range(400)] + [(5_000 + i, 1, rows[200][2], 9.0, "", 0) for i in range(400)]
+    want = {99: "spike", 199: "spike"} | dict.fromkeys(range(146, 154), "stuck") | dict.fromkeys(range(5_000, 5_400), "bounds")
+    for limit in (60, 100, 150, 1_200):
+        assert flags(spark, rows, max_series=limit) == want
+    assert flags(spark, rows) == want
