@@ -6,7 +6,7 @@ source with very many readings, each stretch of it with a margin) together and i
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 GAUSS = 1.4826  # scale of the median absolute deviation for normal scatter
+PER_ROUND = 8  # numbers of a series in each round: three centres, three spreads, two sums
+SKETCH = 512  # values of a stretch that bracket a median
 
 
 @dataclass(frozen=True)
@@ -72,32 +74,50 @@ def _outside(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, angle:
         return ((x * c + y * s) / a) ** 2 + ((y * c - x * s) / b) ** 2 > 1
 
 
-def phase_space_candidates(group: np.ndarray, u: np.ndarray, n: int, rules: SpikeRules) -> np.ndarray:
+def _planes(work: np.ndarray, group: np.ndarray) -> list[np.ndarray]:
+    """Values, first and second differences; differences over the ends of a series are 0."""
+    d1 = _shift(work, group, -1) - work
+    d1 = np.where(np.isfinite(d1), d1, 0.0)
+    back = work - _shift(work, group, 1)
+    return [work, d1, d1 - np.where(np.isfinite(back), back, 0.0)]
+
+
+def _axes(group: np.ndarray, planes: list[np.ndarray], centre: list[np.ndarray], spread: list[np.ndarray], lam: np.ndarray, rules: SpikeRules) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
+    """Centred planes and the axes of their ellipses; x * x and x * z of the readings within the axes of values and second differences."""
+    axes = [np.maximum(GAUSS * s, rules.min_scatter) * lam for s in spread]
+    x, y, z = (p - m[group] for p, m in zip(planes, centre))
+    calm = (np.abs(x) <= axes[0][group]) & (np.abs(z) <= axes[2][group])
+    return [x, y, z], axes, np.where(calm, x * x, 0), np.where(calm, x * z, 0)
+
+
+def phase_space_candidates(group: np.ndarray, u: np.ndarray, n: int, rules: SpikeRules, known: np.ndarray | None = None) -> np.ndarray:
     """Readings outside the robust ellipses over (value, first), (first, second) and (value, second difference).
 
     Medians and median absolute deviations give centre and scatter of each series; the axes are the universal threshold
     sqrt(2 ln n) times the scatter, in the third plane turned by the angle between value and second difference. Flagged
     readings are replaced by the median of up to two unflagged readings on either side and the rest is looked at again.
+    known, for stretches: the numbers of the whole series of each group, see _whole_numbers.
     """
+    return _rounds(group, u, n, rules, known)[0]
+
+
+def _rounds(group: np.ndarray, u: np.ndarray, n: int, rules: SpikeRules, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """(flagged, values with replacements) after all rounds, or with known after those whose numbers are there."""
     flagged = np.zeros(len(u), bool)
-    size = np.maximum(np.bincount(group, minlength=n), 2)
+    size = np.maximum(np.bincount(group, minlength=n) if known is None else known[:, 0], 2)
     lam = np.sqrt(2 * np.log(size))
     work = u.copy()
-    for _ in range(rules.rounds):
-        d1 = _shift(work, group, -1) - work
-        d1 = np.where(np.isfinite(d1), d1, 0.0)
-        back = work - _shift(work, group, 1)
-        d2 = d1 - np.where(np.isfinite(back), back, 0.0)
-        axes, centred = [], []
-        for z in (work, d1, d2):
-            m = _segment_median(group, z, n)
-            c = z - m[group]
-            axes.append(np.maximum(GAUSS * _segment_median(group, np.abs(c), n), rules.min_scatter) * lam)
-            centred.append(c)
-        (x, y, z), (ax, ay, az) = centred, axes
-        calm = (np.abs(x) <= ax[group]) & (np.abs(z) <= az[group])
-        xx = np.bincount(group, np.where(calm, x * x, 0), minlength=n)
-        xz = np.bincount(group, np.where(calm, x * z, 0), minlength=n)
+    for turn in range(rules.rounds if known is None else min(rules.rounds, (known.shape[1] - 1) // PER_ROUND)):
+        planes = _planes(work, group)
+        if known is None:
+            centre = [_segment_median(group, p, n) for p in planes]
+            spread = [_segment_median(group, np.abs(p - m[group]), n) for p, m in zip(planes, centre)]
+            (x, y, z), (ax, ay, az), xx, xz = _axes(group, planes, centre, spread, lam, rules)
+            xx, xz = np.bincount(group, xx, minlength=n), np.bincount(group, xz, minlength=n)
+        else:
+            here = list(known[:, 1 + turn * PER_ROUND : 1 + (turn + 1) * PER_ROUND].T)
+            (x, y, z), (ax, ay, az), *_ = _axes(group, planes, here[:3], here[3:6], lam, rules)
+            xx, xz = here[6:]
         angle = np.arctan2(xz, np.where(xx > 0, xx, 1.0))
         c2, s2 = np.cos(angle) ** 2, np.sin(angle) ** 2
         det = np.where(np.abs(c2 - s2) > 0.1, c2 - s2, np.nan)
@@ -110,7 +130,9 @@ def phase_space_candidates(group: np.ndarray, u: np.ndarray, n: int, rules: Spik
         new = _outside(x, y, ax[group], ay[group], zero) | _outside(y, z, ay[group], az[group], zero) | _outside(x, z, a[group], b[group], angle[group])
         new &= ~flagged
         if not new.any():
-            break
+            if known is None:
+                break
+            continue
         flagged |= new
         at = np.flatnonzero(flagged)
         kept = np.where(flagged, np.nan, u)
@@ -119,7 +141,7 @@ def phase_space_candidates(group: np.ndarray, u: np.ndarray, n: int, rules: Spik
         pick = np.arange(len(at))
         level = (near[np.maximum(there - 1, 0) // 2, pick] + near[np.minimum(there // 2, 3), pick]) / 2
         work[at] = np.where(there > 0, level, u[at])
-    return flagged
+    return flagged, work
 
 
 def stuck(group: np.ndarray, u: np.ndarray, rules: SpikeRules) -> np.ndarray:
@@ -132,17 +154,23 @@ def stuck(group: np.ndarray, u: np.ndarray, rules: SpikeRules) -> np.ndarray:
     return np.bincount(run)[run] >= rules.run
 
 
-def spikes(group: np.ndarray, t: np.ndarray, u: np.ndarray, still: np.ndarray, n: int, rules: SpikeRules) -> np.ndarray:
+def _steps(group: np.ndarray, u: np.ndarray, still: np.ndarray) -> list[np.ndarray]:
+    """Distances to the reading before and to the mean of both neighbours, NaN where stuck."""
+    before, after = _shift(u, group, 1), _shift(u, group, -1)
+    return [np.where(still, np.nan, np.abs(z)) for z in (u - before, u - (before + after) / 2)]
+
+
+def spikes(group: np.ndarray, t: np.ndarray, u: np.ndarray, still: np.ndarray, n: int, rules: SpikeRules, known: np.ndarray | None = None) -> np.ndarray:
     """Phase-space candidates that stand, alone or two in a row, far off both neighbours, which are near in time and alike.
 
     The scatter of a series is the greater of two robust estimates, from first differences and from the distance to the
     mean of both neighbours, without stuck readings.
     """
-    candidates = phase_space_candidates(group, u, n, rules)
+    candidates = phase_space_candidates(group, u, n, rules, known)
     before, after, after2 = _shift(u, group, 1), _shift(u, group, -1), _shift(u, group, -2)
     t1, t3, t4 = _shift(t, group, 1), _shift(t, group, -1), _shift(t, group, -2)
-    quiet = lambda z: np.where(still, np.nan, np.abs(z))
-    scatter = np.fmax(_segment_median(group, quiet(u - before), n) / np.sqrt(2), _segment_median(group, quiet(u - (before + after) / 2), n) / np.sqrt(1.5)) * GAUSS
+    step, bend = [_segment_median(group, z, n) for z in _steps(group, u, still)] if known is None else known[:, -2:].T
+    scatter = np.fmax(step / np.sqrt(2), bend / np.sqrt(1.5)) * GAUSS
     need = rules.factor * np.fmax(scatter, rules.min_scatter)[group]
     with np.errstate(invalid="ignore"):
         near = (t - t1 <= rules.max_gap) & (t3 - t <= rules.max_gap)
@@ -156,11 +184,11 @@ def spikes(group: np.ndarray, t: np.ndarray, u: np.ndarray, still: np.ndarray, n
     return (single & candidates) | double | second
 
 
-def judge(source: np.ndarray, t: np.ndarray, u: np.ndarray, key: np.ndarray, rules: SpikeRules) -> np.ndarray:
+def judge(source: np.ndarray, t: np.ndarray, u: np.ndarray, key: np.ndarray, rules: SpikeRules, known: np.ndarray | None = None) -> np.ndarray:
     """Fault of each row ('' where none) of whole series: rows sorted by (source, t, key), source as dense numbers.
 
     u has no NaN for null (nulls are left out before); t is NaN where the day is unknown. Equal (source, key) next to
-    each other are one reading and get the same fault.
+    each other are one reading and get the same fault. known: numbers of the whole series, a row for each number in source.
     """
     fault = np.full(len(u), "", dtype=object)
     bad = ~((u >= rules.low) & (u <= rules.high))
@@ -171,26 +199,42 @@ def judge(source: np.ndarray, t: np.ndarray, u: np.ndarray, key: np.ndarray, rul
         ids, group = np.unique(source[use], return_inverse=True)
         tt, uu = t[use], u[use]
         still = stuck(group, uu, rules)
-        jump = spikes(group, tt, uu, still, len(ids), rules)
+        jump = spikes(group, tt, uu, still, len(ids), rules, None if known is None else known[ids])
         fault[use] = np.where(jump, "spike", np.where(still, "stuck", ""))
     for i in np.flatnonzero(again):
         fault[i] = fault[i - 1]
     return fault
 
 
-def _kernel(rules: SpikeRules, key_type: pa.DataType, batch_rows: int):
+def _known_rows(source: pa.Array, series: np.ndarray, known: dict) -> np.ndarray:
+    """A row of numbers for each of the series 0, 1, ..., which stand one after another."""
+    first = np.flatnonzero(np.r_[True, series[1:] != series[:-1]])
+    return np.array([known[s] for s in source.take(pa.array(first)).to_pylist()], float)
+
+
+def _series(source: pa.Array, block: np.ndarray) -> np.ndarray:
+    s = (source.dictionary_encode().indices if pa.types.is_string(source.type) else source).to_numpy(zero_copy_only=False)
+    return np.cumsum(np.r_[False, (s[1:] != s[:-1]) | (block[1:] != block[:-1])])
+
+
+def _kernel(rules: SpikeRules, key_type: pa.DataType, batch_rows: int, known: dict | None = None):
     out = pa.schema([("key", key_type), ("fault", pa.string())])
 
     def judged(table: pa.Table) -> pa.RecordBatch:
         cols = {c: table.column(c).combine_chunks() for c in ("source", "block", "day", "value", "halo", "key")}
-        same = lambda a: (a.dictionary_encode().indices if pa.types.is_string(a.type) else a).to_numpy(zero_copy_only=False)
-        s, b, k = same(cols["source"]), cols["block"].to_numpy(), same(cols["key"])
-        series = np.cumsum(np.r_[True, (s[1:] != s[:-1]) | (b[1:] != b[:-1])])
+        k = (cols["key"].dictionary_encode().indices if pa.types.is_string(key_type) else cols["key"]).to_numpy(zero_copy_only=False)
+        series = _series(cols["source"], cols["block"].to_numpy())
         day = cols["day"].to_numpy(zero_copy_only=False).astype(float)
-        fault = judge(series, day, cols["value"].to_numpy(), k, rules)
+        fault = judge(series, day, cols["value"].to_numpy(), k, rules, None if known is None else _known_rows(cols["source"], series, known))
         hit = (fault != "") & ~cols["halo"].to_numpy(zero_copy_only=False) & np.r_[True, (k[1:] != k[:-1]) | (series[1:] != series[:-1])]
         return pa.RecordBatch.from_arrays([cols["key"].filter(pa.array(hit)), pa.array(fault[hit], pa.string())], schema=out)
 
+    return _by_series(judged, batch_rows)
+
+
+def _by_series(judged: Callable[[pa.Table], pa.RecordBatch], batch_rows: int):
+    """judged over tables of whole series (or stretches), which stand one after another in the batches."""
+
     def last_start(table: pa.Table) -> int:
         """Where the last series begins: it may go on in the next batch."""
         s, b = table.column("source"), table.column("block")
@@ -235,8 +279,9 @@ def flag_faults(readings: DataFrame, *, source: str, day: Column, value: str, ke
 
     Readings are shuffled once, on source. A source with more than max_series rows loses its copies and its readings out
     of bounds first, and if more than max_series are left is cut into stretches of so many, each with the
-    neighbouring readings of the stretches beside it, so stuck runs and the neighbours of spikes come out the same; scatter
-    and ellipses are those of the stretch. Whether such sources exist is one count per source; nothing else goes to the driver.
+    neighbouring readings of the stretches beside it. Medians, spreads and scatter are those of the whole source, exactly, from
+    several passes over its stretches, so max_series changes no result (but for the rounding of the two sums of each round). Whether
+    such sources exist is one count per source; some forty numbers of each source that is cut go to the driver and nothing else.
     """
     rows = readings.select(F.col(source).alias("source"), F.datediff(day, F.lit("1970-01-01").cast("date")).alias("day"), F.col(value).cast("double").alias("value"), F.col(key).alias("key"))
     rows = rows.where(
@@ -244,44 +289,154 @@ def flag_faults(readings: DataFrame, *, source: str, day: Column, value: str, ke
     )
     sizes = readings.where(F.col(source).isNotNull()).groupBy(F.col(source).alias("source")).count().where(F.col("count") > max_series)
     hot = sizes.count()
-    aside = None
+    halo = max(2 * rules.run, 3 * rules.rounds + 2)  # a candidate depends on 3 readings more on either side in each round
+    more = []
+    types = dict(rows.dtypes)
+    key_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[types["key"]]
+    schema = f"key {types['key']}, fault string"
     if hot:
-        rows, aside = _stretches(rows, sizes.select("source"), hot, max_series, 2 * rules.run, rules)
-    else:
-        rows = rows.withColumns({"block": F.lit(0).cast("bigint"), "halo": F.lit(False)})
-    key_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[dict(rows.dtypes)["key"]]
-    placed = rows.repartition("source", "block").sortWithinPartitions("source", "block", "day", "key")
-    flagged = placed.mapInArrow(_kernel(rules, key_type, batch_rows), f"key {dict(rows.dtypes)['key']}, fault string")
-    flagged = flagged if aside is None else flagged.unionByName(aside)
+        rows, aside, cut, width = _places(rows, sizes.select("source"), hot, max(max_series, halo), rules)
+        more.append(aside)
+        known = {r["source"]: [float(r["size"])] for r in cut.groupBy("source").agg(F.count("*").alias("size")).collect()}
+        if known:
+            cut = _stretches(cut, width, halo)
+            _whole_numbers(cut, known, rules, batch_rows)
+            more.append(cut.mapInArrow(_kernel(rules, key_type, batch_rows, known), schema))
+    placed = rows.withColumns({"block": F.lit(0).cast("bigint"), "halo": F.lit(False)}).repartition("source", "block").sortWithinPartitions("source", "block", "day", "key")
+    flagged = placed.mapInArrow(_kernel(rules, key_type, batch_rows), schema)
+    for m in more:
+        flagged = flagged.unionByName(m)
     return flagged.groupBy(F.col("key").alias(key)).agg(F.min("fault").alias("fault"))
 
 
-def _stretches(rows: DataFrame, hot_sources: DataFrame, hot: int, max_series: int, halo: int, rules: SpikeRules) -> tuple[DataFrame, DataFrame]:
-    """(rows with block and halo, rows out of bounds as (key, fault)).
+def _places(rows: DataFrame, hot_sources: DataFrame, hot: int, width: int, rules: SpikeRules) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """(rows of sources that need no cut, rows out of bounds as (key, fault), the others with their place n, width).
 
     Sources in hot_sources lose their copies and their rows out of bounds first; those that then still have more than
-    max_series readings are cut into stretches of just so many, in order of day, then key, with margins of halo readings.
-    Of a key that is delivered with several values for one day the least counts.
+    width readings are to be cut. n counts a source's readings in order of day, then key. Of a key that is delivered
+    with several days or values the least counts.
     """
     hint = F.broadcast if hot <= 1_000_000 else (lambda d: d)
     hot_sources = hint(cut_lineage(hot_sources))
     busy, cool = rows.join(hot_sources, "source", "left_semi"), rows.join(hot_sources, "source", "left_anti")
     usable = F.col("value").between(rules.low, rules.high)
     aside = busy.where(~usable).select("key", F.lit("bounds").alias("fault"))
-    one = busy.where(usable).groupBy("source", "day", "key").agg(F.min("value").alias("value"))
+    one = busy.where(usable).groupBy("source", "key").agg(F.min(F.struct("day", "value")).alias("r")).select("source", "r.day", "r.value", "key")
     # the place of a reading in its source: its place in the part of a range-partitioned table, after those of earlier parts
     one = cut_lineage(one.repartitionByRange("source", "day", "key").sortWithinPartitions("source", "day", "key").withColumn("id", F.monotonically_increasing_id()))
     one = one.withColumn("part", F.shiftright("id", 33))
     parts = one.groupBy("source", "part").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     whole = Window.partitionBy("source")
     parts = parts.select("source", "part", (F.sum("n").over(whole.orderBy("part")) - F.col("n") - F.col("first")).alias("shift"), F.sum("n").over(whole).alias("size"))
-    width = max(max_series, halo)
-    n = F.col("id") + F.col("shift")
-    one = one.join(hint(parts), ["source", "part"]).withColumns({"n": n % width, "block": F.when(F.col("size") > width, F.floor(n / width)).otherwise(0)})
-    keep = ["source", "block", "day", "value", "key"]
-    cut = one.where(F.col("size") > width)
-    head = cut.where((F.col("n") < halo) & (F.col("block") > 0)).withColumn("block", F.col("block") - 1)
-    tail = cut.where(F.col("n") >= width - halo).withColumn("block", F.col("block") + 1)
-    margin = head.select(*keep).unionByName(tail.select(*keep)).withColumn("halo", F.lit(True))
-    cool = cool.withColumn("block", F.lit(0).cast("bigint"))
-    return cool.select(*keep).unionByName(one.select(*keep)).withColumn("halo", F.lit(False)).unionByName(margin), aside
+    one = one.join(hint(parts), ["source", "part"]).withColumn("n", F.col("id") + F.col("shift"))
+    keep = ["source", "day", "value", "key"]
+    return cool.select(*keep).unionByName(one.where(F.col("size") <= width).select(*keep)), aside, one.where(F.col("size") > width).select(*keep, "n"), width
+
+
+def _stretches(cut: DataFrame, width: int, halo: int) -> DataFrame:
+    """Stretches of width readings by place n, with margins of halo readings, each in one partition and in order."""
+    at, block = F.col("n") % width, F.floor(F.col("n") / width)
+    keep = ["source", "day", "value", "key"]
+    inner = cut.select(*keep, block.alias("block"), F.lit(False).alias("halo"))
+    head = cut.where((at < halo) & (block > 0)).select(*keep, (block - 1).alias("block"), F.lit(True).alias("halo"))
+    tail = cut.where(at >= width - halo).select(*keep, (block + 1).alias("block"), F.lit(True).alias("halo"))
+    return cut_lineage(inner.unionByName(head).unionByName(tail).repartition("source", "block").sortWithinPartitions("source", "block", "day", "key"))
+
+
+def _whole_numbers(cut: DataFrame, known: dict, rules: SpikeRules, batch_rows: int) -> None:
+    """Appends to the size of each source in known: per round centre and spread of each plane and the two sums, then both scatters."""
+    cut = cut.select("source", "block", "value", "halo")
+    for _ in range(rules.rounds):
+        centre = _exact_medians(cut, known, "centre", {}, rules, batch_rows)
+        spread = _exact_medians(cut, known, "spread", centre, rules, batch_rows)
+        ready = {s: centre[s] + spread[s] for s in known}
+        sums = _pass(cut, known, "sums", ready, None, rules, batch_rows).groupBy("source").agg(*[F.sum(F.when(F.col("stat") == i, F.col("v"))).alias(f"s{i}") for i in (0, 1)])
+        sums = {r["source"]: [r["s0"], r["s1"]] for r in sums.collect()}
+        for s in known:
+            known[s] = known[s] + ready[s] + sums[s]
+    scatter = _exact_medians(cut, known, "scatter", {}, rules, batch_rows)
+    for s in known:
+        known[s] = known[s] + scatter[s]
+
+
+def _exact_medians(cut: DataFrame, known: dict, what: str, now: dict, rules: SpikeRules, batch_rows: int) -> dict:
+    """source: medians of what over all its stretches, NaN where there are no values.
+
+    Evenly spaced values of each sorted stretch give bounds of ranks and so a bracket (low, high] around both middle values;
+    a second pass counts the values in it.
+    """
+    order = Window.partitionBy("source", "stat")
+    k1, k2 = F.floor((F.col("size") - 1) / 2), F.floor(F.col("size") / 2)
+    running = lambda d: d.groupBy("source", "stat", "v").agg(F.sum("w").alias("w"), F.sum("slack").alias("slack")).select(
+        "source", "stat", "v", F.sum("w").over(order.orderBy("v")).alias("upto"), F.sum("w").over(order).alias("size"), F.sum("slack").over(order).alias("slack")
+    )
+    bounds = running(_pass(cut, known, what, now, None, rules, batch_rows)).groupBy("source", "stat")
+    bounds = bounds.agg(F.max(F.when(F.col("upto") + F.col("slack") <= k1, F.col("v"))).alias("low"), F.min(F.when(F.col("upto") > k2, F.col("v"))).alias("high"), F.max("size").alias("size"))
+    brackets: dict = {}
+    for r in bounds.collect():
+        brackets[r["source"], r["stat"]] = (-np.inf if r["low"] is None else r["low"], r["high"])
+    values = running(_pass(cut, known, what, now, brackets, rules, batch_rows)).groupBy("source", "stat")
+    values = values.agg(F.min(F.when(F.col("upto") > k1, F.col("v"))).alias("a"), F.min(F.when(F.col("upto") > k2, F.col("v"))).alias("b"))
+    out = {s: [np.nan] * (2 if what == "scatter" else 3) for s in known}
+    for r in values.collect():
+        out[r["source"]][r["stat"]] = (r["a"] + r["b"]) / 2
+    return out
+
+
+def _pass(cut: DataFrame, known: dict, what: str, now: dict, brackets: dict | None, rules: SpikeRules, batch_rows: int) -> DataFrame:
+    """(source, stat, v, w, slack): w values of a stretch lie at v or between the row before and v.
+
+    Without brackets evenly spaced values, at v or below which at most slack more lie than their w add up to; with brackets each
+    value inside, and those above and below at infinity. For sums, v is the sum of the stretch.
+    """
+    source_type = dict(cut.dtypes)["source"]
+    known, now = dict(known), dict(now)
+
+    def looked(table: pa.Table) -> pa.RecordBatch:
+        source, halo = table.column("source").combine_chunks(), table.column("halo").combine_chunks().to_numpy(zero_copy_only=False)
+        group, u = _series(source, table.column("block").combine_chunks().to_numpy()), table.column("value").combine_chunks().to_numpy()
+        rows = _known_rows(source, group, known)
+        n = len(rows)
+        first = np.searchsorted(group, np.arange(n + 1))
+        names = source.take(pa.array(first[:-1])).to_pylist()
+        if what == "scatter":
+            stats = _steps(group, u, stuck(group, u, rules))
+        else:
+            stats = _planes(_rounds(group, u, n, rules, rows)[1], group)
+        if now:
+            here = list(np.array([now[s] for s in names], float).T)
+            if what == "spread":
+                stats = [np.abs(p - m[group]) for p, m in zip(stats, here)]
+            else:
+                stats = _axes(group, stats, here[:3], here[3:], np.sqrt(2 * np.log(np.maximum(rows[:, 0], 2))), rules)[2:]
+        at, stat, v, w, slack = [], [], [], [], []
+        for i, name in enumerate(names):
+            own = slice(first[i], first[i + 1])
+            for j, z in enumerate(stats):
+                x = z[own][~halo[own]]
+                loose = 0
+                if what == "sums":
+                    x, many = np.array([x.sum()]), np.array([1])
+                elif brackets is None:
+                    x = np.sort(x[np.isfinite(x)])
+                    every = max(1, len(x) // SKETCH)
+                    ends = np.unique(np.r_[np.arange(every - 1, len(x), every), len(x) - 1]) if len(x) else np.zeros(0, int)
+                    x, many, loose = x[ends], np.diff(ends, prepend=-1), every - 1
+                else:
+                    low, high = brackets.get((name, j), (-np.inf, np.inf))
+                    x = x[np.isfinite(x)]
+                    inside, many = np.unique(x[(x > low) & (x <= high)], return_counts=True)
+                    x, many = np.r_[-np.inf, inside, np.inf], np.r_[(x <= low).sum(), many, (x > high).sum()]
+                    x, many = x[many > 0], many[many > 0]
+                at.append(np.full(len(x), first[i]))
+                stat.append(np.full(len(x), j, np.int32))
+                v.append(x)
+                w.append(many)
+                slack.append(np.r_[loose, np.zeros(len(x) - 1)] if len(x) else np.zeros(0))
+        cols = [source.take(pa.array(np.concatenate(at))), pa.array(np.concatenate(stat)), pa.array(np.concatenate(v), pa.float64())]
+        cols += [pa.array(np.concatenate(c).astype(np.int64)) for c in (w, slack)]
+        return pa.RecordBatch.from_arrays(cols, names=["source", "stat", "v", "w", "slack"])
+
+    return cut.mapInArrow(_by_series(looked, batch_rows), f"source {source_type}, stat int, v double, w bigint, slack bigint")
+
+

@@ -109,3 +109,17 @@ def test_copies_at_a_cut_take_no_place_in_the_margins(spark):
     for limit in (60, 100, 150, 1_200):
         assert flags(spark, rows, max_series=limit) == want
     assert flags(spark, rows) == want
+
+
+@pytest.mark.parametrize("named", [False, True])
+def test_scatter_is_that_of_the_whole_source(spark, named):
+    rng = np.random.default_rng(12)
+    sigma = np.repeat([0.004, 0.03, 0.004, 0.03], 300)
+    v = np.round(0.4 + 0.1 * np.sin(np.arange(1_200) / 40) + sigma * rng.standard_normal(1_200), 4)
+    v[np.arange(20, 1_190, 41)] += np.resize([0.05, -0.15, 0.3], 29)
+    v[620:660] = 0.4321
+    rows = series(1, v.tolist()) + series(2, v[::-1].tolist(), start=5_000) + series(3, noise(50, 13), start=9_000)
+    rows += rows[100:140]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("obs_id", F.format_string("k%05d", "obs_id") if named else F.col("obs_id")).withColumn("pixel_id", F.col("pixel_id").cast("string" if named else "bigint"))
+    found = [{(r.obs_id, r.fault) for r in flag_faults(df, source="pixel_id", day=parse_date("date"), value="nbr", key="obs_id", max_series=m).collect()} for m in (100_000, 100)]
+    assert found[0] == found[1] and sum(f == "spike" for _, f in found[0]) > 10
