@@ -28,9 +28,10 @@ class SpikeRules:
     factor: float = 6.0  # a spike stands off by so many scatters; estimates of the scatter are rough, so under the nominal ten
     min_scatter: float = 0.003  # resolution of the sensor
     max_gap: float = 72.0  # days between the readings of a spike and its neighbours
-    span: float = 80.0  # days from the neighbour before to the one after, of one reading
+    span: float = 80.0  # days from the neighbour before to the one after, of one reading, up to which back holds in full
     span2: float = 112.0  # and of two
     back: float = 0.5  # neighbours before and after differ by at most this share of the spike's height
+    tighten: float = 4.0  # beyond span, back falls with this power of the days
     run: int = 8  # equal values in a row that count as stuck
     digits: int = 6  # equality of stuck values
     rounds: int = 4  # of phase-space thresholding
@@ -172,13 +173,13 @@ def spikes(group: np.ndarray, t: np.ndarray, u: np.ndarray, still: np.ndarray, n
     step, bend = [_segment_median(group, z, n) for z in _steps(group, u, still)] if known is None else known[:, -2:].T
     scatter = np.fmax(step / np.sqrt(2), bend / np.sqrt(1.5)) * GAUSS
     need = rules.factor * np.fmax(scatter, rules.min_scatter)[group]
+    alike = lambda days, span: rules.back * np.minimum(1.0, span / np.maximum(days, 1.0)) ** rules.tighten
     with np.errstate(invalid="ignore"):
         near = (t - t1 <= rules.max_gap) & (t3 - t <= rules.max_gap)
-        brief, brief2 = t3 - t1 <= rules.span, t4 - t1 <= rules.span2
         height = np.minimum(np.abs(u - before), np.abs(u - after))
-        single = near & brief & (height >= need) & (np.abs(after - before) <= rules.back * height)
+        single = near & (height >= need) & (np.abs(after - before) <= alike(t3 - t1, rules.span) * height)
         height = np.minimum(np.minimum(np.abs(u - before), np.abs(u - after2)), np.minimum(np.abs(after - before), np.abs(after - after2)))
-        double = near & brief2 & (t4 - t3 <= rules.max_gap) & (height >= need) & (np.abs(after2 - before) <= rules.back * height)
+        double = near & (t4 - t3 <= rules.max_gap) & (height >= need) & (np.abs(after2 - before) <= alike(t4 - t1, rules.span2) * height)
     double &= candidates | np.r_[candidates[1:], False]
     second = np.r_[False, double[:-1]]
     return (single & candidates) | double | second

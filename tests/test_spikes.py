@@ -123,3 +123,12 @@ def test_scatter_is_that_of_the_whole_source(spark, named):
     df = spark.createDataFrame(rows, SCHEMA).withColumn("obs_id", F.format_string("k%05d", "obs_id") if named else F.col("obs_id")).withColumn("pixel_id", F.col("pixel_id").cast("string" if named else "bigint"))
     found = [{(r.obs_id, r.fault) for r in flag_faults(df, source="pixel_id", day=parse_date("date"), value="nbr", key="obs_id", max_series=m).collect()} for m in (100_000, 100)]
     assert found[0] == found[1] and sum(f == "spike" for _, f in found[0]) > 10
+
+
+def test_neighbours_far_apart_must_agree_the_closer(spark):
+    rows = []
+    for pixel, gaps, after in ((1, (24, 64), 0.5), (2, (56, 56), 0.6), (3, (24, 64), 0.54), (4, (64, 90), 0.5)):
+        v = noise(20, pixel, sigma=0.004) + [0.8] + noise(20, pixel + 10, level=after, sigma=0.004)
+        days = np.cumsum([0] + [8] * 19 + list(gaps) + [8] * 19)
+        rows += [(100 * pixel + i, pixel, str(dt.date(2001, 1, 1) + dt.timedelta(days=int(d))), x, "", 0) for i, (d, x) in enumerate(zip(days, v))]
+    assert flags(spark, rows) == {120: "spike", 320: "spike"}
