@@ -33,12 +33,17 @@ def linked_nodes(records: DataFrame, *, key: str, links: dict[str, Column]) -> t
     """(records as (key, node), labels as (node, root)).
 
     links names the ties, each a STRING column or null. Records with an equal tie are of one component, also by way of
-    further records. A record's node is its first tie that is not null; without any it stands alone, as its key.
+    further records. A record's node is its first tie that is not null; without any it stands alone, as its key or, where that is
+    null, under a number of its own.
     """
     names = list(links)
     ties = records.select(F.col(key), *[F.concat(F.lit(f"{n}:"), links[n]).alias(f"__{n}") for n in names])
-    node = F.coalesce(*[F.col(f"__{n}") for n in names], F.concat(F.lit("alone:"), F.col(key).cast("string"), F.lit("")))
-    placed = ties.select(F.col(key), node.alias("node"), *[F.col(f"__{n}") for n in names])
+    tied = F.coalesce(*[F.col(f"__{n}") for n in names])
+    alone = F.concat(F.lit("alone:"), F.col(key).cast("string"))
+    if ties.where(F.col(key).isNull() & tied.isNull()).limit(1).count():
+        ties = cut_lineage(ties.withColumn("__id", F.monotonically_increasing_id()))  # numbers must not change between reads
+        alone = F.coalesce(alone, F.concat(F.lit("unnamed:"), F.col("__id").cast("string")))
+    placed = ties.select(F.col(key), F.coalesce(tied, alone).alias("node"), *[F.col(f"__{n}") for n in names])
     edges = None
     for n in names:
         e = placed.where(f"__{n} is not null").select(F.col("node").alias("u"), F.col(f"__{n}").alias("v")).distinct()

@@ -102,3 +102,12 @@ def test_split(spark):
     share = {p: sum(r.split == p for r in out) for p in PARTS}
     assert abs(share["test"] - 200) <= 2 and abs(share["validation"] - 200) <= 2
     assert split_together(df.limit(0), key="point_id", links={"fire": F.col("fire_id")}, parts=PARTS).count() == 0
+
+
+def test_null_keys_are_records_of_their_own(spark):
+    rows = [(None, None)] * 40 + [(None, "fire_1")] * 5 + [(i, None) for i in range(50)] + [(100, "fire_1")]
+    df = spark.createDataFrame(rows, "point_id bigint, fire string").repartition(3)
+    out = split_together(df, key="point_id", links={"fire": F.col("fire")}, parts=PARTS).collect()
+    assert len(out) == 96 and all(r.split in PARTS and r.component for r in out)
+    assert len({r.component for r in out}) == 91
+    assert abs(sum(r.split == "test" for r in out) - 10) <= 1 and abs(sum(r.split == "validation" for r in out) - 10) <= 1
