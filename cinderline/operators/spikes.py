@@ -6,6 +6,7 @@ source with very many readings, each stretch of it with a margin) together and i
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 GAUSS = 1.4826  # scale of the median absolute deviation for normal scatter
-PER_ROUND = 8  # numbers of a series in each round: three centres, three spreads, two sums
+PLANES = 3  # value beside its level, first and second difference
+REACH = 4  # a round looks at so many readings on either side
 SKETCH = 512  # values of a stretch that bracket a median
 
 
@@ -25,16 +27,13 @@ SKETCH = 512  # values of a stretch that bracket a median
 class SpikeRules:
     low: float = -1.0  # physical bounds, inclusive
     high: float = 1.0
-    factor: float = 6.0  # a spike stands off by so many scatters; estimates of the scatter are rough, so under the nominal ten
+    radius: float = 9.0  # of the ellipsoid, in scatters: a spike of ten usual scatters lies beyond it, whatever its neighbours' noise
+    guard: float = 3.0  # a reading within radius / guard scatters of its level is none, whatever the steps beside it
     min_scatter: float = 0.003  # resolution of the sensor
-    max_gap: float = 72.0  # days between the readings of a spike and its neighbours
-    span: float = 80.0  # days from the neighbour before to the one after, of one reading, up to which back holds in full
-    span2: float = 112.0  # and of two
+    max_gap: float = 72.0  # days between the readings of a spike and its neighbours, for the level to be back within weeks
     back: float = 0.5  # neighbours before and after differ by at most this share of the spike's height
-    tighten: float = 4.0  # beyond span, back falls with this power of the days
     run: int = 8  # equal values in a row that count as stuck
     digits: int = 6  # equality of stuck values
-    rounds: int = 4  # of phase-space thresholding
 
 
 def _segment_median(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -69,67 +68,59 @@ def _shift(values: np.ndarray, group: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def _outside(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, angle: np.ndarray) -> np.ndarray:
-    c, s = np.cos(angle), np.sin(angle)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return ((x * c + y * s) / a) ** 2 + ((y * c - x * s) / b) ** 2 > 1
+def _level(values: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Median of each value and up to two on either side in its group: spikes of one or two readings go, steps stay."""
+    five = np.sort(np.stack([values, *[_shift(values, group, k) for k in (2, 1, -1, -2)]]), axis=0)  # NaN last
+    there, pick = np.isfinite(five).sum(axis=0), np.arange(len(values))
+    return (five[(there - 1) // 2, pick] + five[there // 2, pick]) / 2
 
 
 def _planes(work: np.ndarray, group: np.ndarray) -> list[np.ndarray]:
-    """Values, first and second differences; differences over the ends of a series are 0."""
-    d1 = _shift(work, group, -1) - work
-    d1 = np.where(np.isfinite(d1), d1, 0.0)
-    back = work - _shift(work, group, 1)
-    return [work, d1, d1 - np.where(np.isfinite(back), back, 0.0)]
+    """Phase space of each reading: value less level, first difference (to the next reading), second difference; NaN over the ends."""
+    before, after = _shift(work, group, 1), _shift(work, group, -1)
+    return [work - _level(work, group), after - work, after - 2 * work + before]
 
 
-def _axes(group: np.ndarray, planes: list[np.ndarray], centre: list[np.ndarray], spread: list[np.ndarray], lam: np.ndarray, rules: SpikeRules) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
-    """Centred planes and the axes of their ellipses; x * x and x * z of the readings within the axes of values and second differences."""
-    axes = [np.maximum(GAUSS * s, rules.min_scatter) * lam for s in spread]
-    x, y, z = (p - m[group] for p, m in zip(planes, centre))
-    calm = (np.abs(x) <= axes[0][group]) & (np.abs(z) <= axes[2][group])
-    return [x, y, z], axes, np.where(calm, x * x, 0), np.where(calm, x * z, 0)
+def _deviations(planes: list[np.ndarray], still: np.ndarray) -> list[np.ndarray]:
+    """What the scatters are medians of: stuck readings and readings that are their own level tell nothing."""
+    value, first, second = (np.where(still, np.nan, np.abs(p)) for p in planes)
+    return [np.where(value == 0, np.nan, value), first, second]
 
 
-def phase_space_candidates(group: np.ndarray, u: np.ndarray, n: int, rules: SpikeRules, known: np.ndarray | None = None) -> np.ndarray:
-    """Readings outside the robust ellipses over (value, first), (first, second) and (value, second difference).
+def _outside(planes: list[np.ndarray], group: np.ndarray, medians: list[np.ndarray], size: np.ndarray, rules: SpikeRules) -> np.ndarray:
+    """Readings beyond the ellipsoid whose axes are `radius` robust scatters (at least the universal threshold sqrt(2 ln n)).
 
-    Medians and median absolute deviations give centre and scatter of each series; the axes are the universal threshold
-    sqrt(2 ln n) times the scatter, in the third plane turned by the angle between value and second difference. Flagged
-    readings are replaced by the median of up to two unflagged readings on either side and the rest is looked at again.
-    known, for stretches: the numbers of the whole series of each group, see _whole_numbers.
+    Of the first differences on both sides of a reading the lesser counts, as a step has a great one on one side.
     """
-    return _rounds(group, u, n, rules, known)[0]
+    floors = [rules.min_scatter, rules.min_scatter * np.sqrt(2), rules.min_scatter * np.sqrt(6)]
+    value, first, second = planes
+    first = np.fmin(np.abs(first), np.abs(_shift(first, group, 1)))
+    radius = np.maximum(np.sqrt(2 * np.log(np.maximum(size, 2))), rules.radius)[group]
+    part = [np.nan_to_num(p) / np.fmax(GAUSS * m, f)[group] for p, m, f in zip((value, first, second), medians, floors)]
+    return (part[0] ** 2 + part[1] ** 2 + part[2] ** 2 > radius**2) & (np.abs(part[0]) > radius / rules.guard)
 
 
-def _rounds(group: np.ndarray, u: np.ndarray, n: int, rules: SpikeRules, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """(flagged, values with replacements) after all rounds, or with known after those whose numbers are there."""
-    flagged = np.zeros(len(u), bool)
-    size = np.maximum(np.bincount(group, minlength=n) if known is None else known[:, 0], 2)
-    lam = np.sqrt(2 * np.log(size))
-    work = u.copy()
-    for turn in range(rules.rounds if known is None else min(rules.rounds, (known.shape[1] - 1) // PER_ROUND)):
+def phase_space_outliers(group: np.ndarray, u: np.ndarray, still: np.ndarray, n: int, rules: SpikeRules, known: np.ndarray | None = None) -> np.ndarray:
+    """Readings beyond the robust ellipsoid of their series over value, first and second difference.
+
+    The value is taken less its level (slow change is no fault); medians of the absolute deviations give the scatters of each
+    series. Flagged readings are replaced by the median of up to two unflagged ones on either side and all is looked at again,
+    until nothing new is flagged. known, for stretches: the numbers of the whole series of each group, see _whole_numbers.
+    """
+    return _rounds(group, u, still, n, rules, known)[0]
+
+
+def _rounds(group: np.ndarray, u: np.ndarray, still: np.ndarray, n: int, rules: SpikeRules, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(flagged, flagged in the last round, values with replacements) after all rounds, or with known after those whose numbers are there."""
+    flagged, new, work = np.zeros(len(u), bool), np.zeros(len(u), bool), u.copy()
+    size = np.bincount(group, minlength=n) if known is None else known[:, 0]
+    for turn in itertools.count() if known is None else range((known.shape[1] - 1) // PLANES):
         planes = _planes(work, group)
         if known is None:
-            centre = [_segment_median(group, p, n) for p in planes]
-            spread = [_segment_median(group, np.abs(p - m[group]), n) for p, m in zip(planes, centre)]
-            (x, y, z), (ax, ay, az), xx, xz = _axes(group, planes, centre, spread, lam, rules)
-            xx, xz = np.bincount(group, xx, minlength=n), np.bincount(group, xz, minlength=n)
+            medians = [_segment_median(group, d, n) for d in _deviations(planes, still)]
         else:
-            here = list(known[:, 1 + turn * PER_ROUND : 1 + (turn + 1) * PER_ROUND].T)
-            (x, y, z), (ax, ay, az), *_ = _axes(group, planes, here[:3], here[3:6], lam, rules)
-            xx, xz = here[6:]
-        angle = np.arctan2(xz, np.where(xx > 0, xx, 1.0))
-        c2, s2 = np.cos(angle) ** 2, np.sin(angle) ** 2
-        det = np.where(np.abs(c2 - s2) > 0.1, c2 - s2, np.nan)
-        with np.errstate(invalid="ignore"):
-            a2, b2 = (ax**2 * c2 - az**2 * s2) / det, (az**2 * c2 - ax**2 * s2) / det
-        turned = np.isfinite(a2) & np.isfinite(b2) & (a2 > 0) & (b2 > 0)
-        angle = np.where(turned, angle, 0.0)
-        a, b = np.sqrt(np.where(turned, a2, ax**2)), np.sqrt(np.where(turned, b2, az**2))
-        zero = np.zeros(len(u))
-        new = _outside(x, y, ax[group], ay[group], zero) | _outside(y, z, ay[group], az[group], zero) | _outside(x, z, a[group], b[group], angle[group])
-        new &= ~flagged
+            medians = list(known[:, 1 + turn * PLANES : 1 + (turn + 1) * PLANES].T)
+        new = _outside(planes, group, medians, size, rules) & ~flagged
         if not new.any():
             if known is None:
                 break
@@ -142,7 +133,7 @@ def _rounds(group: np.ndarray, u: np.ndarray, n: int, rules: SpikeRules, known:
         pick = np.arange(len(at))
         level = (near[np.maximum(there - 1, 0) // 2, pick] + near[np.minimum(there // 2, 3), pick]) / 2
         work[at] = np.where(there > 0, level, u[at])
-    return flagged, work
+    return flagged, new, work
 
 
 def stuck(group: np.ndarray, u: np.ndarray, rules: SpikeRules) -> np.ndarray:
@@ -155,34 +146,22 @@ def stuck(group: np.ndarray, u: np.ndarray, rules: SpikeRules) -> np.ndarray:
     return np.bincount(run)[run] >= rules.run
 
 
-def _steps(group: np.ndarray, u: np.ndarray, still: np.ndarray) -> list[np.ndarray]:
-    """Distances to the reading before and to the mean of both neighbours, NaN where stuck."""
-    before, after = _shift(u, group, 1), _shift(u, group, -1)
-    return [np.where(still, np.nan, np.abs(z)) for z in (u - before, u - (before + after) / 2)]
-
-
 def spikes(group: np.ndarray, t: np.ndarray, u: np.ndarray, still: np.ndarray, n: int, rules: SpikeRules, known: np.ndarray | None = None) -> np.ndarray:
-    """Phase-space candidates that stand, alone or two in a row, far off both neighbours, which are near in time and alike.
+    """Phase-space outliers that are no step and no season: the level is back after one or two readings.
 
-    The scatter of a series is the greater of two robust estimates, from first differences and from the distance to the
-    mean of both neighbours, without stuck readings.
+    The ellipsoid decides what is far off; of that, an outlier is a spike where the reading before it (them) and the one after
+    are near in time and differ by at most a share of its height, the least distance to either of them.
     """
-    candidates = phase_space_candidates(group, u, n, rules, known)
+    far = phase_space_outliers(group, u, still, n, rules, known)
     before, after, after2 = _shift(u, group, 1), _shift(u, group, -1), _shift(u, group, -2)
     t1, t3, t4 = _shift(t, group, 1), _shift(t, group, -1), _shift(t, group, -2)
-    step, bend = [_segment_median(group, z, n) for z in _steps(group, u, still)] if known is None else known[:, -2:].T
-    scatter = np.fmax(step / np.sqrt(2), bend / np.sqrt(1.5)) * GAUSS
-    need = rules.factor * np.fmax(scatter, rules.min_scatter)[group]
-    alike = lambda days, span: rules.back * np.minimum(1.0, span / np.maximum(days, 1.0)) ** rules.tighten
     with np.errstate(invalid="ignore"):
         near = (t - t1 <= rules.max_gap) & (t3 - t <= rules.max_gap)
         height = np.minimum(np.abs(u - before), np.abs(u - after))
-        single = near & (height >= need) & (np.abs(after - before) <= alike(t3 - t1, rules.span) * height)
+        single = far & near & (np.abs(after - before) <= rules.back * height)
         height = np.minimum(np.minimum(np.abs(u - before), np.abs(u - after2)), np.minimum(np.abs(after - before), np.abs(after - after2)))
-        double = near & (t4 - t3 <= rules.max_gap) & (height >= need) & (np.abs(after2 - before) <= alike(t4 - t1, rules.span2) * height)
-    double &= candidates | np.r_[candidates[1:], False]
-    second = np.r_[False, double[:-1]]
-    return (single & candidates) | double | second
+        double = far & np.r_[far[1:], False] & near & (t4 - t3 <= rules.max_gap) & (np.abs(after2 - before) <= rules.back * height)
+    return single | double | np.r_[False, double[:-1]]
 
 
 def judge(source: np.ndarray, t: np.ndarray, u: np.ndarray, key: np.ndarray, rules: SpikeRules, known: np.ndarray | None = None) -> np.ndarray:
@@ -214,7 +193,7 @@ def _known_rows(source: pa.Array, series: np.ndarray, known: dict) -> np.ndarray
 
 
 def _series(source: pa.Array, block: np.ndarray) -> np.ndarray:
-    s = (source.dictionary_encode().indices if pa.types.is_string(source.type) else source).to_numpy(zero_copy_only=False)
+    s = (source.dictionary_encode(null_encoding="encode").indices if source.null_count or pa.types.is_string(source.type) else source).to_numpy(zero_copy_only=False)
     return np.cumsum(np.r_[False, (s[1:] != s[:-1]) | (block[1:] != block[:-1])])
 
 
@@ -278,19 +257,18 @@ def flag_faults(readings: DataFrame, *, source: str, day: Column, value: str, ke
     left out; rows with the same key are one reading; readings of one day are taken in order of key. key is a whole number
     or a string; rows with a null key cannot be named and are left out. An empty table gives no rows.
 
-    Readings are shuffled once, on source. A source with more than max_series rows loses its copies and its readings out
+    Readings are shuffled once, on source; those that need no series (out of bounds) are spread by key. A source with more than max_series rows loses its copies and its readings out
     of bounds first, and if more than max_series are left is cut into stretches of so many, each with the
-    neighbouring readings of the stretches beside it. Medians, spreads and scatter are those of the whole source, exactly, from
-    several passes over its stretches, so max_series changes no result (but for the rounding of the two sums of each round). Whether
-    such sources exist is one count per source; some forty numbers of each source that is cut go to the driver and nothing else.
+    neighbouring readings of the stretches beside it. The scatters are those of the whole source, exactly, from
+    several passes over its stretches, so max_series changes no result. Whether
+    such sources exist is one count per source; three numbers a round of each source that is cut go to the driver and nothing else.
     """
     rows = readings.select(F.col(source).alias("source"), F.datediff(day, F.lit("1970-01-01").cast("date")).alias("day"), F.col(value).cast("double").alias("value"), F.col(key).alias("key"))
-    rows = rows.where(
-        F.col("value").isNotNull() & F.col("key").isNotNull() & ((F.col("day").isNotNull() & F.col("source").isNotNull()) | ~F.col("value").between(rules.low, rules.high) | F.isnan("value"))
-    )
+    usable = F.col("value").between(rules.low, rules.high)
+    rows = rows.where(F.col("value").isNotNull() & F.col("key").isNotNull() & ((F.col("day").isNotNull() & F.col("source").isNotNull()) | ~usable | F.isnan("value")))
     sizes = readings.where(F.col(source).isNotNull()).groupBy(F.col(source).alias("source")).count().where(F.col("count") > max_series)
     hot = sizes.count()
-    halo = max(2 * rules.run, 3 * rules.rounds + 2)  # a candidate depends on 3 readings more on either side in each round
+    halo = 2 * rules.run + 8 * REACH  # for eight rounds; more is fetched if there are more
     more = []
     types = dict(rows.dtypes)
     key_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[types["key"]]
@@ -300,10 +278,11 @@ def flag_faults(readings: DataFrame, *, source: str, day: Column, value: str, ke
         more.append(aside)
         known = {r["source"]: [float(r["size"])] for r in cut.groupBy("source").agg(F.count("*").alias("size")).collect()}
         if known:
-            cut = _stretches(cut, width, halo)
-            _whole_numbers(cut, known, rules, batch_rows)
+            cut = _whole_numbers(cut, known, width, halo, rules, batch_rows)
             more.append(cut.mapInArrow(_kernel(rules, key_type, batch_rows, known), schema))
-    placed = rows.withColumns({"block": F.lit(0).cast("bigint"), "halo": F.lit(False)}).repartition("source", "block").sortWithinPartitions("source", "block", "day", "key")
+    # what is out of bounds is judged by itself, so it goes anywhere
+    block = F.when(usable, 0).otherwise(1 + F.pmod(F.xxhash64("key"), F.lit(1_000))).cast("bigint")
+    placed = rows.withColumns({"block": block, "halo": F.lit(False)}).repartition("source", "block").sortWithinPartitions("source", "block", "day", "key")
     flagged = placed.mapInArrow(_kernel(rules, key_type, batch_rows), schema)
     for m in more:
         flagged = flagged.unionByName(m)
@@ -344,24 +323,27 @@ def _stretches(cut: DataFrame, width: int, halo: int) -> DataFrame:
     return cut_lineage(inner.unionByName(head).unionByName(tail).repartition("source", "block").sortWithinPartitions("source", "block", "day", "key"))
 
 
-def _whole_numbers(cut: DataFrame, known: dict, rules: SpikeRules, batch_rows: int) -> None:
-    """Appends to the size of each source in known: per round centre and spread of each plane and the two sums, then both scatters."""
-    cut = cut.select("source", "block", "value", "halo")
-    for _ in range(rules.rounds):
-        centre = _exact_medians(cut, known, "centre", {}, rules, batch_rows)
-        spread = _exact_medians(cut, known, "spread", centre, rules, batch_rows)
-        ready = {s: centre[s] + spread[s] for s in known}
-        sums = _pass(cut, known, "sums", ready, None, rules, batch_rows).groupBy("source").agg(*[F.sum(F.when(F.col("stat") == i, F.col("v"))).alias(f"s{i}") for i in (0, 1)])
-        sums = {r["source"]: [r["s0"], r["s1"]] for r in sums.collect()}
+def _whole_numbers(cut: DataFrame, known: dict, width: int, halo: int, rules: SpikeRules, batch_rows: int) -> DataFrame:
+    """Appends to the size of each source in known the three medians of each round, until a round flags nothing; returns the stretches.
+
+    A stretch repeats all rounds so far from these numbers, and each reaches REACH readings further into its margins.
+    """
+    whole = cut
+    cut = _stretches(whole, width, halo)
+    for turn in itertools.count(1):
+        if 2 * rules.run + turn * REACH > halo and halo < width:
+            halo = min(2 * halo, width)
+            cut = _stretches(whole, width, halo)
+        medians = _exact_medians(cut, known, rules, batch_rows)
         for s in known:
-            known[s] = known[s] + ready[s] + sums[s]
-    scatter = _exact_medians(cut, known, "scatter", {}, rules, batch_rows)
-    for s in known:
-        known[s] = known[s] + scatter[s]
+            known[s] = known[s] + medians[s]
+        new = _pass(cut, known, None, rules, batch_rows, count=True).agg(F.sum("w")).first()[0]
+        if not new:
+            return cut
 
 
-def _exact_medians(cut: DataFrame, known: dict, what: str, now: dict, rules: SpikeRules, batch_rows: int) -> dict:
-    """source: medians of what over all its stretches, NaN where there are no values.
+def _exact_medians(cut: DataFrame, known: dict, rules: SpikeRules, batch_rows: int) -> dict:
+    """source: medians of the deviations of the next round over all its stretches, NaN where there are no values.
 
     Evenly spaced values of each sorted stretch give bounds of ranks and so a bracket (low, high] around both middle values;
     a second pass counts the values in it.
@@ -371,27 +353,27 @@ def _exact_medians(cut: DataFrame, known: dict, what: str, now: dict, rules: Spi
     running = lambda d: d.groupBy("source", "stat", "v").agg(F.sum("w").alias("w"), F.sum("slack").alias("slack")).select(
         "source", "stat", "v", F.sum("w").over(order.orderBy("v")).alias("upto"), F.sum("w").over(order).alias("size"), F.sum("slack").over(order).alias("slack")
     )
-    bounds = running(_pass(cut, known, what, now, None, rules, batch_rows)).groupBy("source", "stat")
+    bounds = running(_pass(cut, known, None, rules, batch_rows)).groupBy("source", "stat")
     bounds = bounds.agg(F.max(F.when(F.col("upto") + F.col("slack") <= k1, F.col("v"))).alias("low"), F.min(F.when(F.col("upto") > k2, F.col("v"))).alias("high"), F.max("size").alias("size"))
     brackets: dict = {}
     for r in bounds.collect():
         brackets[r["source"], r["stat"]] = (-np.inf if r["low"] is None else r["low"], r["high"])
-    values = running(_pass(cut, known, what, now, brackets, rules, batch_rows)).groupBy("source", "stat")
+    values = running(_pass(cut, known, brackets, rules, batch_rows)).groupBy("source", "stat")
     values = values.agg(F.min(F.when(F.col("upto") > k1, F.col("v"))).alias("a"), F.min(F.when(F.col("upto") > k2, F.col("v"))).alias("b"))
-    out = {s: [np.nan] * (2 if what == "scatter" else 3) for s in known}
+    out = {s: [np.nan] * PLANES for s in known}
     for r in values.collect():
         out[r["source"]][r["stat"]] = (r["a"] + r["b"]) / 2
     return out
 
 
-def _pass(cut: DataFrame, known: dict, what: str, now: dict, brackets: dict | None, rules: SpikeRules, batch_rows: int) -> DataFrame:
-    """(source, stat, v, w, slack): w values of a stretch lie at v or between the row before and v.
+def _pass(cut: DataFrame, known: dict, brackets: dict | None, rules: SpikeRules, batch_rows: int, count: bool = False) -> DataFrame:
+    """(source, stat, v, w, slack): w deviations of a stretch lie at v or between the row before and v.
 
     Without brackets evenly spaced values, at v or below which at most slack more lie than their w add up to; with brackets each
-    value inside, and those above and below at infinity. For sums, v is the sum of the stretch.
+    value inside, and those above and below at infinity. With count, w is the number of readings that the last round flagged.
     """
     source_type = dict(cut.dtypes)["source"]
-    known, now = dict(known), dict(now)
+    known = dict(known)
 
     def looked(table: pa.Table) -> pa.RecordBatch:
         source, halo = table.column("source").combine_chunks(), table.column("halo").combine_chunks().to_numpy(zero_copy_only=False)
@@ -400,24 +382,17 @@ def _pass(cut: DataFrame, known: dict, what: str, now: dict, brackets: dict | No
         n = len(rows)
         first = np.searchsorted(group, np.arange(n + 1))
         names = source.take(pa.array(first[:-1])).to_pylist()
-        if what == "scatter":
-            stats = _steps(group, u, stuck(group, u, rules))
-        else:
-            stats = _planes(_rounds(group, u, n, rules, rows)[1], group)
-        if now:
-            here = list(np.array([now[s] for s in names], float).T)
-            if what == "spread":
-                stats = [np.abs(p - m[group]) for p, m in zip(stats, here)]
-            else:
-                stats = _axes(group, stats, here[:3], here[3:], np.sqrt(2 * np.log(np.maximum(rows[:, 0], 2))), rules)[2:]
+        still = stuck(group, u, rules)
+        _, new, work = _rounds(group, u, still, n, rules, rows)
+        stats = [new] if count else _deviations(_planes(work, group), still)
         at, stat, v, w, slack = [], [], [], [], []
         for i, name in enumerate(names):
             own = slice(first[i], first[i + 1])
             for j, z in enumerate(stats):
                 x = z[own][~halo[own]]
                 loose = 0
-                if what == "sums":
-                    x, many = np.array([x.sum()]), np.array([1])
+                if count:
+                    x, many = np.zeros(1), np.array([x.sum()])
                 elif brackets is None:
                     x = np.sort(x[np.isfinite(x)])
                     every = max(1, len(x) // SKETCH)
@@ -439,5 +414,3 @@ def _pass(cut: DataFrame, known: dict, what: str, now: dict, brackets: dict | No
         return pa.RecordBatch.from_arrays(cols, names=["source", "stat", "v", "w", "slack"])
 
     return cut.mapInArrow(_by_series(looked, batch_rows), f"source {source_type}, stat int, v double, w bigint, slack bigint")
-
-

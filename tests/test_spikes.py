@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cinderline.functions.text import parse_date
-from cinderline.operators.spikes import SpikeRules, _segment_median, flag_faults, judge, phase_space_candidates
+from cinderline.operators import spikes as spikes_module
+from cinderline.operators.spikes import SpikeRules, _segment_median, flag_faults, judge, phase_space_outliers
 
 SCHEMA = "obs_id bigint, pixel_id bigint, date string, nbr double, fault string, block int"
 
@@ -94,7 +95,7 @@ def test_phase_space_flags_spikes_of_every_series():
     u = rng.normal(0.5, 0.02, 2_000)
     at = np.arange(10, 2_000, 40)
     u[at] += 0.4
-    assert phase_space_candidates(np.repeat(np.arange(50), 40), u, 50, SpikeRules())[at].all()
+    assert phase_space_outliers(np.repeat(np.arange(50), 40), u, np.zeros(2_000, bool), 50, SpikeRules())[at].all()
     assert list(judge(np.zeros(0), np.zeros(0), np.zeros(0), np.zeros(0), SpikeRules())) == []
 
 
@@ -125,10 +126,43 @@ def test_scatter_is_that_of_the_whole_source(spark, named):
     assert found[0] == found[1] and sum(f == "spike" for _, f in found[0]) > 10
 
 
-def test_neighbours_far_apart_must_agree_the_closer(spark):
+def test_neighbours_are_near_and_agree(spark):
     rows = []
-    for pixel, gaps, after in ((1, (24, 64), 0.5), (2, (56, 56), 0.6), (3, (24, 64), 0.54), (4, (64, 90), 0.5)):
+    for pixel, gaps, after in ((1, (24, 64), 0.5), (2, (56, 56), 0.7), (3, (24, 64), 0.54), (4, (64, 90), 0.5)):
         v = noise(20, pixel, sigma=0.004) + [0.8] + noise(20, pixel + 10, level=after, sigma=0.004)
         days = np.cumsum([0] + [8] * 19 + list(gaps) + [8] * 19)
         rows += [(100 * pixel + i, pixel, str(dt.date(2001, 1, 1) + dt.timedelta(days=int(d))), x, "", 0) for i, (d, x) in enumerate(zip(days, v))]
     assert flags(spark, rows) == {120: "spike", 320: "spike"}
+
+
+def test_the_ellipsoid_decides(monkeypatch):
+    rng = np.random.default_rng(5)
+    u = rng.normal(0.5, 0.02, 4_000)
+    at = np.arange(20, 4_000, 80)
+    u[at] += np.resize([0.4, -0.3], len(at))
+    group, t, still = np.repeat(np.arange(50), 80), np.tile(np.arange(80) * 8.0, 50), np.zeros(4_000, bool)
+    found = spikes_module.spikes(group, t, u, still, 50, SpikeRules())
+    assert list(np.flatnonzero(found)) == list(at)
+    monkeypatch.setattr(spikes_module, "phase_space_outliers", lambda group, u, *more: np.ones(len(u), bool))
+    assert spikes_module.spikes(group, t, u, still, 50, SpikeRules()).sum() > 500
+
+
+def test_rounds_go_on_until_nothing_is_new():
+    u = np.random.default_rng(6).normal(0.5, 0.004, 200)
+    for k, height in ((50, 0.4), (52, 0.4), (54, 0.4), (53, 0.2)):
+        u[k] += height
+    still, group, rules = np.zeros(200, bool), np.zeros(200, int), SpikeRules()
+    flagged, new, work = spikes_module._rounds(group, u, still, 1, rules, None)
+    assert flagged[[50, 52, 53, 54]].all() and not new.any()
+    planes = spikes_module._planes(work, group)
+    medians = [_segment_median(group, d, 1) for d in spikes_module._deviations(planes, still)]
+    assert not (spikes_module._outside(planes, group, medians, np.array([200]), rules) & ~flagged).any()
+
+
+def test_limit_of_a_series_changes_no_flag(spark):
+    rng = np.random.default_rng(14)
+    v = np.r_[rng.normal(0.5, 0.003, 900), rng.normal(0.5, 0.05, 2_100)]
+    v[np.arange(30, 900, 50)] += 0.2
+    rows = series(1, np.round(np.clip(v, -1, 1), 4).tolist(), step=1) + [(9_000 + i, None, "2001-01-01", 2.0, "", 0) for i in range(50)]
+    found = [flags(spark, rows, max_series=m) for m in (100_000, 2_999, 1_000)]
+    assert found[0] == found[1] == found[2] and sum(f == "bounds" for f in found[0].values()) == 50
