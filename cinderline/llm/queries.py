@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import BLANK, INVISIBLE, fire_label, fire_number, period_label
 from ..sources.tables import one_delivery, one_record, table
-from .canonical import SINGLE, canonical_text
+from .canonical import canonical_text
 from .leakage import leaked_items
 from .lookalike import look_classes, lookalike_pairs
 from .quantiles import merge_sketches, read_quantiles, sketch_groups
@@ -112,15 +112,22 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# Of the SQL alone, so that an error in the operator's table does not stand in both: letters drawn alike and composed letters over them,
+# characters that are not shown, and compatibility forms.
+SQL_CYRILLIC = ("АВЕКМНОРСТХУЅІЈаеорсухѕіјһԁԛԝҮӀѴѵӏԌԚԜЁЀЇёѐї", "ABEKMHOPCTXYSIJaeopcyxsijhdqwYIVvlGQWËÈÏëèï")
+SQL_GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαορυνϲϳΆΈΊΌΎΪΫάόύϋ", "ABEZHIKMNOPTYXaopuvcjÁÉÍÓÝÏŸáóúü")
+SQL_OTHER = ("ՍՏՕզհոսցօᎠᎢᎥᎪᎫᎬᎷᎻᏃᏏᏒᏙᏞᏟᏢᏦᏧᏴꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴɑɡʼ", "USOqhnugoDTiAJEMHZbRVLCPKdBBPDTGKJCZFMNLSRVHWXYAEIOUag’")
+SQL_GONE = r"[\x{ad}\x{34f}\x{61c}\x{17b4}\x{17b5}\x{180b}-\x{180f}\x{200b}-\x{200f}\x{202a}-\x{202e}\x{2060}-\x{206f}\x{fe00}-\x{fe0f}\x{feff}\x{e0000}-\x{e0fff}]"
+
+
 def _skeleton_sql(column: str) -> str:
     """The look-alike form of a text in SQL: characters mapped one by one, line ends, composition."""
-    one = {chr(c): to for c, to in SINGLE.items() if len(to) == 1}
-    more = {chr(c): to for c, to in SINGLE.items() if len(to) > 1}
-    gone = "".join(chr(c) for c, to in SINGLE.items() if not to)
-    mapped = lambda x: f"translate({x}, {_quoted(''.join(one) + gone)}, {_quoted(''.join(one.values()))})"
-    out = column
-    for char, to in more.items():
-        out = f"replace({out}, {_quoted(char)}, {_quoted(to)})"
+    wide = ("".join(map(chr, range(0xFF01, 0xFF5F))), "".join(map(chr, range(0x21, 0x7F))))
+    one, to = ("".join(x) for x in zip(SQL_CYRILLIC, SQL_GREEK, SQL_OTHER, wide, ("‐‑﹣\u2028\u2029\x85\xb5", "---\n\n\n\u03bc")))
+    mapped = lambda x: f"translate({x}, {_quoted(one)}, {_quoted(to)})"
+    out = f"regexp_replace(regexp_replace({column}, '{SQL_GONE}', '', 'g'), '\\p{{Zs}}', ' ', 'g')"
+    for char, letters in zip("ﬀﬁﬂﬃﬄ", ("ff", "fi", "fl", "ffi", "ffl")):
+        out = f"replace({out}, '{char}', '{letters}')"
     out = f"replace(replace({mapped(out)}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
     return mapped(f"nfc_normalize({out})")
 
@@ -145,4 +152,6 @@ gd AS (SELECT doc_id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT doc_
 SELECT DISTINCT doc_id, item_id FROM gd JOIN gi USING (g)""",
     "p8_found": f"""WITH d AS (SELECT doc_id, text, {_skeleton_sql("text")} AS look FROM documents WHERE text IS NOT NULL), v AS (SELECT * FROM d WHERE regexp_matches(look, '[^\\s]'))
 SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM v a JOIN v b ON a.look = b.look AND a.doc_id < b.doc_id AND a.text <> b.text""",
+    "p8_classes": f"""WITH d AS (SELECT doc_id, text, {_skeleton_sql("text")} AS look FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, md5(look) AS look, md5(text) AS form FROM d WHERE regexp_matches(look, '[^\\s]')""",
 }

@@ -46,9 +46,11 @@ def test_scripts_keep_their_letters():
     assert C.canonical("Снег на склоне, у реки") == "Снег на склоне, у реки"
     assert C.canonical("Соmеntаrio dе campo") == "Comentario de campo"
     assert C.canonical("λόγος 5 µm") == "λόγος 5 μm"
+    assert C.canonical("Հայոց հող") == "Հայոց հող" and C.canonical("ᎠᎴ ᏣᎳᎩ") == "ᎠᎴ ᏣᎳᎩ"
+    assert C.canonical("село Сосһіѵіӏ на реке") == "село Cochivil на реке"
 
 
-PIECES = st.lists(st.sampled_from(list("abñéоеСАν́̈­​  \r\n\tＡ１ﬁ가각ᆨйЁ🔥‍.") + ["año ", "мост "]), max_size=40).map("".join)
+PIECES = st.lists(st.sampled_from(list("abñéоеСАν́̈­​  \r\n\tＡ１ﬁ가각ᆨйЁ🔥‍.\U0002f800\U0001d15e\U00011099\U000110ba\U000e0100") + ["año ", "мост "]), max_size=40).map("".join)
 
 
 @settings(max_examples=300, deadline=None)
@@ -68,8 +70,21 @@ def test_segments_give_what_whole_text_normalisation_gives(text):
 
 
 def test_the_quick_check_lets_no_unstable_character_pass():
-    unstable, beyond = re.compile(f"[{C.UNSTABLE}]"), re.compile(C.BEYOND_STABLE)
-    assert not [hex(c) for c in range(0x10000) if unstable.match(chr(c)) and not beyond.match(chr(c))]
+    beyond = re.compile(C.BEYOND_STABLE)
+    touched = [c for c in range(0x110000) if C.PROPERTY[c] != C.KEEP or C.TO[c] != c or c == 0x0D]
+    assert not [hex(c) for c in touched if not beyond.match(chr(c))]
+
+
+def test_the_table_knows_every_character_that_normalisation_changes():
+    missed = [c for c in range(0x80, 0x110000) if not 0xAC00 <= c < 0xE000 and C.PROPERTY[c] == C.KEEP and C.TO[c] == c and not unicodedata.is_normalized("NFC", chr(c))]
+    marks = [c for c in range(0x80, 0x110000) if unicodedata.combining(chr(c)) and C.PROPERTY[c] == C.KEEP]
+    assert not missed and not marks
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(PIECES, max_size=30))
+def test_many_at_a_time_give_what_each_gives_by_itself(texts):
+    assert C.skeletons(texts, batch_chars=50) == [C.skeleton(t) for t in texts] == C.skeletons(texts)
 
 
 SCHEMA = "doc_id bigint, text string, look string, form string"
