@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from cinderline.llm.leakage import LeakRules, build_index, common_words, find_leaks, leaked_items, retrieve, words
+from cinderline.llm.leakage import LeakRules, _grams, build_index, common_words, find_leaks, leaked_items, plain_words, retrieve, words
 
 RNG = random.Random(11)
 VOCABULARY = [f"{a}{b}" for a in ("fue", "cam", "bos", "río", "ñan", "vien") for b in ("go", "po", "que", "to", "da", "ra", "les", "cho", "mo", "nas")] + ["de", "la", "el", "y", "en", "a"] * 4
@@ -66,21 +66,46 @@ def test_all_leaks_and_nothing_else():
     assert {(d, index.items[i]) for d, i, _, n, _ in leaks if n} == {(d, i) for d, i in expected if d % 6 in (2, 3)}
 
 
-def test_bounds_lose_no_window():
-    index = build_index(ITEMS, LeakRules(block=4))
+@pytest.mark.parametrize("kind", ["run", "whole"])
+def test_bounds_lose_no_window(kind):
+    index = build_index(ITEMS + [(94, None, "dos palabras")], LeakRules(block=4))
+    postings = getattr(index, kind)
     docs, _ = cases()
     lists = [np.array([index.vocabulary.get(w, -1) for w in words(t)], np.int64) for _, t in docs[:60]]
     tokens, length = np.concatenate(lists), np.array([len(x) for x in lists])
-    weights = {(t, int(i)): w for t in range(len(index.vocabulary)) for i, w in zip(index.item[index.start[t] : index.start[t + 1]], index.weight[index.start[t] : index.start[t + 1]])}
-    brute = set()
+    weights = {(int(c), int(i)): w for t, c in enumerate(postings.code) for i, w in zip(postings.item[postings.start[t] : postings.start[t + 1]], postings.weight[postings.start[t] : postings.start[t + 1]])}
+    brute, width = set(), postings.width
     for d, x in enumerate(lists):
         base = int(length[:d].sum())
-        for s in range(0, max(1, len(x) - 12), 12):
-            terms = set(x[s : s + 24].tolist()) - {-1}
+        for s in range(0, max(1, len(x) - width), width):
+            window = x[s : s + 2 * width]
+            terms = {int(_grams(window[k : k + n], n)[0]) for n in postings.grams for k in range(len(window) - n + 1) if (window[k : k + n] >= 0).all()}
             for i in range(len(index.items)):
-                if sum(weights.get((t, i), 0.0) for t in terms) >= index.need_run[i] * (1 - 1e-9):
+                if sum(weights.get((t, i), 0.0) for t in terms) >= postings.need[i] * (1 - 1e-9):
                     brute.add((d, base + s, i))
-    assert set(zip(*(x.tolist() for x in retrieve(index, tokens, length, 12, index.need_run)))) == brute
+    assert set(zip(*(x.tolist() for x in retrieve(postings, tokens, length)))) == brute and brute
+
+
+def test_words_put_in_lost_and_changed():
+    rng = random.Random(8)
+    index = build_index(ITEMS)
+    texts, expected = [], []
+    for number, (i, _, passage) in enumerate(ITEMS[:40]):
+        ws = passage.split()
+        for kind in range(3):
+            body = list(ws)
+            for k in sorted(rng.sample(range(1, len(ws)), len(ws) // 9), reverse=True):
+                body[k : k + (kind > 0)] = [[f"otra{k}"], [f"otra{k}"], []][kind]
+            texts.append(" ".join(text(rng.randrange(60), rng) + body + text(rng.randrange(60), rng)))
+            expected.append(i)
+    got = {(d, index.items[i]) for d, i, *_ in find_leaks(index, texts)}
+    assert got >= set(enumerate(expected))
+
+
+def test_short_passages_are_found_as_a_whole():
+    index = build_index([(1, None, "Sí"), (2, None, "dos palabras"), (3, None, "esto son ya cinco palabras"), (4, None, "once palabras hay en este pasaje, que es corto aún, sí")])
+    got = {(d, index.items[i]) for d, i, *_ in find_leaks(index, ["dijo: ¡sí!", "solo dos palabras", "esto son cinco palabras", "y esto son ya cinco palabras", "Once palabras hay en este PASAJE que es corto aún"])}
+    assert got == {(0, 1), (1, 2), (3, 2), (3, 3), (4, 4)} - {(3, 2)}
 
 
 def test_common_words():
@@ -90,6 +115,8 @@ def test_common_words():
 
 def test_words_without_visible_differences():
     assert words("Él  «VIO» 0,41­ha\r\nÑandú") == ["el", "vio", "0", "41ha", "nandu"]
+    assert words("Straße\u2028Ⅳ 葛\U000e0100x e\u0301l_la") == ["strasse", "iv", "葛x", "el", "la"] and words("") == words(" .\n") == []
+    assert plain_words(["a\nb", "", "ñ"]) == ["a b", "", "n"]
 
 
 @pytest.mark.parametrize("more", [{}, {"shard_chars": 2_000, "batch_chars": 500}])
