@@ -99,8 +99,6 @@ def _ranges(codes: list[int]) -> str:
     return "".join(f"\\u{a:04x}-\\u{b:04x}" if a < b else f"\\u{a:04x}" for a, b in spans)
 
 
-# Quick check of the JVM: few ranges that hold no character which any rule touches; a text with any other goes on to the exact check.
-BEYOND_STABLE = r"[^\x00-\x0c\x0e-\x7e\u00a1-\u00ac\u00ae-\u00b4\u00b6-\u017f\u2012-\u2023\u2025-\u2027\u3001-\u3029\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff\uac00-\ud7a3]"
 BELOW_ASTRAL = sorted(c for c in {*np.flatnonzero(PROPERTY == UNSTABLE).tolist(), *SINGLE} if c < 0x10000)
 SEGMENT = re.compile(f"[\r{_ranges(BELOW_ASTRAL)}\U00010000-\U0001ffff\U0002f800-\U0002fa1f\U000e0000-\U000e0fff]+\n?")  # beyond U+FFFF whole blocks
 WORD = re.compile(r"[^\W\d_]+")
@@ -252,11 +250,20 @@ def _skeleton_udf(texts: pd.Series) -> pd.Series:
     return _each(texts, False)
 
 
+# Spark may not evaluate these twice where a filter looks at their result.
+_canonical_udf, _skeleton_udf = _canonical_udf.asNondeterministic(), _skeleton_udf.asNondeterministic()
+
+
+def _unless_plain(text: Column) -> Column:
+    """Null for texts of ASCII without a return, which no rule touches: the quick check that costs the JVM next to nothing."""
+    return F.when((F.octet_length(text) != F.char_length(text)) | F.contains(text, F.lit("\r")), text)
+
+
 def canonical_text(text: Column) -> Column:
-    """canonical() of a string column: null stays null, empty stays empty. Stable texts are not sent to Python."""
-    return F.coalesce(_canonical_udf(F.when(text.rlike(BEYOND_STABLE), text)), text)
+    """canonical() of a string column: null stays null, empty stays empty. Plain texts are not sent to Python."""
+    return F.coalesce(_canonical_udf(_unless_plain(text)), text)
 
 
 def skeleton_text(text: Column) -> Column:
     """skeleton() of a string column, with which texts are compared: equal where canonical_text() is, and cheaper."""
-    return F.coalesce(_skeleton_udf(F.when(text.rlike(BEYOND_STABLE), text)), text)
+    return F.coalesce(_skeleton_udf(_unless_plain(text)), text)
