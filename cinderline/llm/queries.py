@@ -18,23 +18,42 @@ PARTS = {"test": 0.1, "validation": 0.1, "train": 0.8}
 
 
 def _points(spark: SparkSession, folder: str) -> DataFrame:
-    return one_record(table(spark, folder, "training_locations").select("point_id", "fire_id", "author", "loaded_at"), "point_id")
+    return one_delivery(table(spark, folder, "training_locations").select("point_id", "fire_id", "author", "loaded_at"), "point_id")
 
 
 def _ties() -> dict:
     return {"fire": fire_label(fire_number("fire_id")), "author": name_key(F.col("author"))}
 
 
+def p3_components(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fire with the first fire of its component."""
+    _, labels = linked_nodes(_points(spark, folder), key="point_id", links=_ties(), keep=False)
+    fires = labels.where(F.col("node").startswith("fire:")).select("root", F.substring("node", 6, 100).alias("fire_id"))
+    return fires.join(fires.groupBy("root").agg(F.min("fire_id").alias("first_fire")), "root").select("fire_id", "first_fire")
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """Fires of one component; a component's fires, not its points, are paired."""
-    _, labels = linked_nodes(_points(spark, folder), key="point_id", links=_ties())
-    fires = labels.where(F.col("node").startswith("fire:")).select("root", F.substring("node", 6, 100).alias("fire"))
-    pairs = fires.select("root", F.col("fire").alias("fire_id_a")).join(fires.select("root", F.col("fire").alias("fire_id_b")), "root")
+    fires = p3_components(spark, folder)
+    pairs = fires.select("first_fire", F.col("fire_id").alias("fire_id_a")).join(fires.select("first_fire", F.col("fire_id").alias("fire_id_b")), "first_fire")
     return pairs.where("fire_id_a < fire_id_b").select("fire_id_a", "fire_id_b").distinct()
 
 
+def _split_points(spark: SparkSession, folder: str) -> DataFrame:
+    return split_together(_points(spark, folder), key="point_id", links=_ties(), parts=PARTS)
+
+
 def p3_splits(spark: SparkSession, folder: str) -> DataFrame:
-    return split_together(_points(spark, folder), key="point_id", links=_ties(), parts=PARTS).select("point_id", "split")
+    return _split_points(spark, folder).select("point_id", "split")
+
+
+def p3_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """What a split must keep to: records, components, those in more than one part, records without a part, and how many
+    records the test part is off its goal."""
+    per = _split_points(spark, folder).groupBy("component", "split").count()
+    groups = per.groupBy("component").agg(F.sum("count").alias("n"), F.count("*").alias("parts"), F.sum(F.when(F.col("split").isNull(), F.col("count")).otherwise(0)).alias("none"), F.sum(F.when(F.col("split") == "test", F.col("count")).otherwise(0)).alias("test"))
+    whole = groups.agg(F.sum("n").alias("records"), F.count("*").alias("components"), F.sum((F.col("parts") > 1).cast("int")).alias("parted"), F.sum("none").alias("without_part"), F.sum("test").alias("test"))
+    return whole.select("records", "components", "parted", "without_part", F.abs(F.col("test") - F.round(F.col("records") * F.lit(PARTS["test"]))).cast("bigint").alias("test_off"))
 
 
 SHARES = {"p01": 0.01, "p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
@@ -94,7 +113,9 @@ def p8_classes(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "p3_found": p3_found,
+    "p3_components": p3_components,
     "p3_splits": p3_splits,
+    "p3_whole": p3_whole,
     "p4_percentiles": p4_percentiles,
     "p4_extent": p4_extent,
     "p4_loads": p4_loads,
@@ -137,12 +158,26 @@ def _words_sql(column: str) -> str:
     return f"regexp_extract_all(lower(strip_accents({_skeleton_sql(column)})), '[\\p{{L}}\\p{{N}}]+')"
 
 
-SQL = {
-    "p3_found": f"""WITH RECURSIVE a AS (SELECT DISTINCT try_cast(nullif(regexp_extract(fire_id, '([0-9]+)', 1), '') AS BIGINT) AS n, {NAME_SQL} AS words FROM training_locations),
-p AS (SELECT n, array_to_string(words, ' ') AS author FROM a WHERE n IS NOT NULL AND len(list_filter(words, lambda w: regexp_matches(w, '\\p{{L}}') AND w NOT IN ({", ".join(map(_quoted, NOBODY))}))) > 0),
+FIRES_SQL = f"""WITH RECURSIVE a AS (SELECT DISTINCT point_id, try_cast(nullif(regexp_extract(fire_id, '([0-9]+)', 1), '') AS BIGINT) AS n, {NAME_SQL} AS words FROM training_locations),
+b AS (SELECT point_id, n, CASE WHEN len(list_filter(words, lambda w: regexp_matches(w, '\\p{{L}}') AND w NOT IN ({", ".join(map(_quoted, NOBODY))}))) > 0 THEN array_to_string(words, ' ') END AS author FROM a),
+p AS (SELECT DISTINCT n, author FROM b WHERE n IS NOT NULL AND author IS NOT NULL),
 e AS (SELECT DISTINCT p.n AS x, q.n AS y FROM p JOIN p q USING (author) WHERE p.n <> q.n),
-r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
-SELECT printf('fire_%03d', x) AS fire_id_a, printf('fire_%03d', y) AS fire_id_b FROM r WHERE x < y""",
+r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+c AS (SELECT f.n, least(f.n, coalesce(min(r.y), f.n)) AS first FROM (SELECT DISTINCT n FROM b WHERE n IS NOT NULL) f LEFT JOIN r ON r.x = f.n GROUP BY f.n)
+"""
+
+SQL = {
+    "p3_found": FIRES_SQL + "SELECT printf('fire_%03d', x) AS fire_id_a, printf('fire_%03d', y) AS fire_id_b FROM r WHERE x < y",
+    "p3_components": FIRES_SQL + "SELECT printf('fire_%03d', n) AS fire_id, printf('fire_%03d', first) AS first_fire FROM c",
+    "p3_whole": FIRES_SQL
+    + f""", g AS (SELECT p.author, min(c.first) AS first FROM p JOIN c USING (n) GROUP BY p.author),
+k AS (SELECT CASE WHEN b.n IS NOT NULL THEN 'f' || c.first WHEN g.first IS NOT NULL THEN 'f' || g.first WHEN b.author IS NOT NULL THEN 'a' || b.author ELSE 'p' || b.point_id END AS component
+  FROM b LEFT JOIN c ON c.n = b.n LEFT JOIN g ON g.author = b.author),
+s AS (SELECT component, count(*) AS size FROM k GROUP BY component),
+o AS (SELECT size, row_number() OVER (ORDER BY size DESC) AS i FROM s),
+t AS (SELECT 0 AS i, 0::BIGINT AS total UNION SELECT t.i + 1, t.total + u.take * o.size FROM t JOIN o ON o.i = t.i + 1 CROSS JOIN (VALUES (0), (1)) u(take) WHERE t.total + u.take * o.size <= (SELECT sum(size) FROM s) / 5),
+goal AS (SELECT sum(size) AS records, count(*) AS components, CAST(round(sum(size) * {PARTS["test"]}::DOUBLE) AS BIGINT) AS n FROM s)
+SELECT CAST(records AS BIGINT) AS records, components, 0::BIGINT AS parted, 0::BIGINT AS without_part, (SELECT CAST(min(abs(total - goal.n)) AS BIGINT) FROM t WHERE i = goal.components) AS test_off FROM goal""",
     "p4_extent": """WITH t AS (SELECT DISTINCT obs_id, fire_id, regexp_replace(lower(period), '[^a-z]', '', 'g') AS p, nbr FROM chart_rows WHERE nbr IS NOT NULL),
 u AS (SELECT *, CASE p WHEN 'prefire' THEN 'Pre-fire' WHEN 'postfire' THEN 'Post-fire' WHEN 'background' THEN 'Background' END AS period FROM t)
 SELECT fire_id, period, count(*) AS n, min(nbr) AS low, max(nbr) AS high FROM u WHERE NOT isnan(nbr) GROUP BY fire_id, period""",

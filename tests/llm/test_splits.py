@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from itertools import combinations
 
 import pytest
@@ -56,6 +57,13 @@ def test_components_of_a_path_a_star_and_nothing(spark):
     assert components(spark.createDataFrame([], "u string, v string")).count() == 0
 
 
+def test_components_when_tables_are_too_large_to_broadcast(spark):
+    rng = random.Random(9)
+    edges = [(f"n{rng.randrange(300):03d}", f"n{rng.randrange(300):03d}") for _ in range(220)] + [("hub", f"s{i:03d}") for i in range(200)] + [("alone", None)]
+    df = spark.createDataFrame(edges, "u string, v string")
+    assert {r.node: r.root for r in components(df, broadcast_rows=0).collect()} == least(roots(edges))
+
+
 def test_names(spark):
     same = ["Wilébano Perubquí", "PERUBQUI , Wilébano", " wilebano  perubqui", "Perubquí,Wilébano", "Wilébano Perubquí", "Wilébano Perubquí", "Wil­ébano Perubquí"]
     nobody = [None, "", " ", "-", "...", "?", "N/A", "unknown", "anónimo", "sin autor", "Your full name", ",", "123"]
@@ -77,12 +85,20 @@ def test_closest_totals(seed):
         assert abs(sum(s * c for s, c in counts.items()) - min(target, sum(groups))) == best
 
 
-def test_totals_in_larger_units():
-    sizes = {1: 500, 7: 900, 1_000: 30, 54_321: 2}
-    for target in (5, 1_234, 20_000, 77_777):
-        counts = closest_counts(sizes, target, max_bits=1 << 8)
-        assert all(c <= sizes[s] for s, c in counts.items())
-        assert abs(sum(s * c for s, c in counts.items()) - target) <= 1
+def test_totals_are_closest_at_any_size():
+    for n in (2_300_000, 2_400_000, 30_000_000):
+        assert closest_counts({n: 9}, 9 * n // 10) == {n: 1}
+    assert closest_counts({n: 1 for n in range(1, 6_001)}, 1_800_300) and sum(s * c for s, c in closest_counts({n: 1 for n in range(1, 6_001)}, 1_800_300).items()) == 1_800_300
+    odd = {2 * n + 3: 1 for n in range(3_000)}
+    assert sum(s * c for s, c in closest_counts(odd, 900_000).items()) == 900_000
+    assert closest_counts({6: 3, 10: 2}, 17) == {6: 1, 10: 1} and closest_counts({5: 1}, 2) == {} and closest_counts({5: 1}, 3) == {5: 1} and closest_counts({}, 4) == {}
+
+
+def test_totals_take_no_history():
+    tracemalloc.start()
+    counts = closest_counts({3_000 + 7 * n: 1 for n in range(2_000)}, 2_000_000)
+    assert abs(sum(s * c for s, c in counts.items()) - 2_000_000) <= 3 and tracemalloc.get_traced_memory()[1] < 50_000_000
+    tracemalloc.stop()
 
 
 def test_split(spark):
