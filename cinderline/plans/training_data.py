@@ -9,13 +9,12 @@ from ..functions.text import fire_number, parse_date
 from ..operators.asof import asof_join
 from ..operators.grid import monthly_grid
 from ..operators.spikes import flag_faults
-from ..sources.tables import one_record, table
+from ..sources.tables import table
 
 REVISION = ["revision_id", "polygon_id", "description", "pre_upr", "post_lwr", "post_upr_long", "post_upr_short"]
 
 
-def _points_asof(spark: SparkSession, folder: str) -> DataFrame:
-    points = one_record(table(spark, folder, "training_locations").select("point_id", "fire_id", "saved_at", "loaded_at"), "point_id")
+def _points_asof(spark: SparkSession, points: DataFrame, folder: str) -> DataFrame:
     return asof_join(
         points,
         table(spark, folder, "training_fires"),
@@ -29,12 +28,15 @@ def _points_asof(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    return _points_asof(spark, folder).where("asof_revision_id is not null").select("point_id", F.col("asof_revision_id").alias("revision_id")).distinct()
+    """Redelivered points find the same revision, so they are made one at the end."""
+    points = table(spark, folder, "training_locations").select("point_id", "fire_id", "saved_at")
+    return _points_asof(spark, points, folder).where("asof_revision_id is not null").select("point_id", F.col("asof_revision_id").alias("revision_id")).distinct()
 
 
 def p1_asof(spark: SparkSession, folder: str) -> DataFrame:
     """Every point, with the pre_upr in force for it or null."""
-    return _points_asof(spark, folder).select("point_id", F.col("asof_revision_id").alias("revision_id"), F.col("asof_pre_upr").alias("pre_upr"))
+    points = table(spark, folder, "training_locations").select("point_id", "fire_id", "saved_at").distinct()
+    return _points_asof(spark, points, folder).select("point_id", F.col("asof_revision_id").alias("revision_id"), F.col("asof_pre_upr").alias("pre_upr"))
 
 
 def p2_faults(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cinderline.operators.asof import asof_join
+from cinderline.operators.asof import asof_join, validity_intervals
 
 T0 = dt.datetime(2024, 1, 1)
 EVENTS = "event_id bigint, who string, at timestamp, value string"
@@ -56,3 +56,19 @@ def test_empty_sides_and_clashing_names(spark):
 def test_join_is_on_entity_and_bucket(spark):
     plan = run(spark, [(1, "a", T0, "")], [(1, "a", "x", T0, T0)])._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Python" not in plan
+
+
+def test_stray_times_cost_one_bucket_each(spark):
+    far = dt.datetime(9999, 6, 1)
+    revisions = [(i, w, "x", T0 + dt.timedelta(days=9 * i), T0) for i in range(40) for w in "ab"] + [(99, "a", "far", far, T0)]
+    events = [(i, w, T0 + dt.timedelta(days=i), "") for i in range(300) for w in "ab"]
+    stray = [(900, "a", far, ""), (901, "b", far, ""), (902, "a", dt.datetime(1, 2, 1), "")]
+    got = {r.event_id: r.asof_revision_id for r in run(spark, events + stray, revisions).collect() if r.event_id >= 900}
+    assert got == {900: 99, 901: 39, 902: None}
+    e, r = spark.createDataFrame(events + stray, EVENTS), spark.createDataFrame(revisions, REVISIONS)
+
+    def intervals(e):
+        needed = e.select(F.col("who").alias("__entity"), F.floor(F.unix_micros("at") / (30 * 86_400_000_000)).alias("__bucket")).distinct()
+        return validity_intervals(r, entity=F.col("who"), valid_from=F.col("valid_from"), known_at=F.col("known"), attributes=["revision_id"], needed=needed).count()
+
+    assert intervals(e.where("event_id < 900")) <= intervals(e) <= intervals(e.where("event_id < 900")) + 4
