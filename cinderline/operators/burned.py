@@ -33,6 +33,12 @@ def burn_year(months: DataFrame, first: int = FIRST_YEAR, last: int = LAST_YEAR)
     return flagged.groupBy("pixel_id").agg(F.max(year).alias("burn_year"), F.min(year).alias("first_burn_year"))
 
 
+def annual_images(months: DataFrame) -> DataFrame:
+    """(pixel_id, ts, burn_date): one image a year, with the last burn date of its months, as annual products come."""
+    years = months.where(burned(F.col("burn_date")) == 1).groupBy("pixel_id", F.year("ts").alias("__y")).agg(F.max("burn_date").alias("burn_date"))
+    return years.select("pixel_id", F.make_date("__y", F.lit(1), F.lit(1)).cast("timestamp").alias("ts"), "burn_date")
+
+
 def product_mosaic(images: DataFrame, value: str, start: str | None = None, end: str | None = None, roi_pixels: DataFrame | None = None) -> DataFrame:
     """Last value of a burned-area product per pixel, of the images in [start, end), inside roi_pixels."""
     if start is not None:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import SCHEME_A
+from ..schema import LEGEND, SCHEME_A
 
 BAND = "classification_"
 
@@ -14,6 +14,17 @@ def bands(wide: DataFrame) -> list[str]:
     return [c for c in wide.columns if c.startswith(BAND)]
 
 
+def legend(spark: SparkSession) -> DataFrame:
+    """The codes with their names and their classes in both schemes."""
+    return spark.createDataFrame(LEGEND, "class int, name string, class_a int, class_b int")
+
+
+def with_names(rows: DataFrame, code: str = "class") -> DataFrame:
+    """rows with the legend's name of their code, null where it lists none."""
+    names = legend(rows.sparkSession).select(F.col("class").alias(code), "name")
+    return rows.join(F.broadcast(names), code, "left")  # fifteen rows
+
+
 def remap(code: Column, scheme: dict[int, int]) -> Column:
     """The class of a code; null for codes that the scheme does not list."""
     table = F.create_map(*[F.lit(x) for pair in scheme.items() for x in pair])

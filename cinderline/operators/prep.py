@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..schema import INTERCEPTS, OFFSET, OLI_BANDS, OPTICAL, QA_MASK, SCALE, SENSORS, SLOPES, TM_BANDS
 from ..sources.tables import bbox_overlap, date_range
+from .lookup import left_lookup
 
 KEYS = ["pixel_id", "scene_id", "sensor", "ts"]
 
@@ -68,6 +69,11 @@ def scenes_over(scenes: DataFrame, roi: tuple[float, float, float, float]) -> Da
     return scenes.where(bbox_overlap(*roi))
 
 
+def with_scene(obs: DataFrame, scenes: DataFrame, *columns: str) -> DataFrame:
+    """obs with columns of its scene next to each pixel's values; unknown scenes give nulls. scenes is unique by scene_id."""
+    return left_lookup(obs, scenes.select("scene_id", *columns), "scene_id")
+
+
 def get_landsat(
     raw: dict[str, DataFrame],
     start: str,

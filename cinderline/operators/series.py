@@ -11,7 +11,7 @@ MIN_LENGTH = 5
 MARGIN = 4
 
 
-def ts_features(series: DataFrame, *, pixel: str, order: list[str], time: Column, nbr: str, key: str | None = None, max_series: int = 1_000_000) -> DataFrame:
+def ts_features(series: DataFrame, *, pixel: str, order: list[str], time: Column, nbr: str, key: str | None = None, counted: DataFrame | None = None, max_series: int = 1_000_000) -> DataFrame:
     """(pixel, max_drop, date_drop, dnbr) of each pixel with at least five readings that are not null.
 
     max_drop is the least difference between consecutive readings, the first of equal ones; date_drop the time of
@@ -20,14 +20,15 @@ def ts_features(series: DataFrame, *, pixel: str, order: list[str], time: Column
     rows that are equal in order, key, time and value are one reading.
 
     One shuffle on pixel serves all windows and the aggregation; windows sort and spill, so no series is held in memory.
-    Pixels with more than max_series rows, told by a count per pixel, are spread over many tasks instead (_long_features).
+    Pixels with more than max_series rows, told by a count per pixel, are spread over many tasks instead (_long_features). The count
+    is of `counted`, a table with at least the rows of series: give the table as it is read, and the count looks at one column alone.
     """
     columns = [f"__o{k}" for k in range(len(order))]
     rows = series.select(
         F.col(pixel).alias("__p"), *[F.col(c).alias(n) for c, n in zip(order, columns)], time.alias("__t"), F.col(nbr).cast("double").alias("__x"), (F.col(key) if key else F.lit(None)).alias("__k")
     )
     rows = rows.where("__p is not null and __t is not null and __x is not null and not isnan(__x)")
-    sizes = series.where(F.col(pixel).isNotNull()).groupBy(F.col(pixel).alias("__p")).count().where(F.col("count") > max_series).select("__p")
+    sizes = (series if counted is None else counted).where(F.col(pixel).isNotNull()).groupBy(F.col(pixel).alias("__p")).count().where(F.col("count") > max_series).select("__p")
     if not sizes.limit(1).count():
         found = _short_features(rows, columns, key is not None)
     else:
@@ -100,10 +101,23 @@ def ts_features_array(series: DataFrame, *, pixel: str, order: list[str], time:
     return a.select(pixel, F.array_min("d").alias("max_drop"), F.get("a", F.col("drop"))["t"].alias("date_drop"), (_median_of(before) - _median_of(after)).alias("dnbr"))
 
 
+def of_points(obs: DataFrame, points: DataFrame, *, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Readings of the pixels that hold a point, so that what follows sees no others. The pixels are broadcast if there are at most
+    broadcast_rows of them."""
+    pixels = points.where("pixel_id is not null").select("pixel_id").distinct()
+    few = pixels.limit(broadcast_rows + 1).count() <= broadcast_rows
+    return obs.join(F.broadcast(pixels) if few else pixels, "pixel_id", "left_semi")
+
+
 def point_series(obs: DataFrame, points: DataFrame, *, day: Column, nbr: str, period: Column) -> DataFrame:
-    """(point_id, date, nbr, period): the readings of each point's pixel by day, as charted; date is yyyy-MM-dd."""
-    rows = obs.join(points.select("point_id", "pixel_id"), "pixel_id")
-    return rows.groupBy("point_id", F.date_format(day, "yyyy-MM-dd").alias("date"), period.alias("period")).agg(F.avg(nbr).alias("nbr"))
+    """(point_id, date, nbr, period): the mean reading of each point's pixel by day, as charted; date is yyyy-MM-dd.
+
+    day and period are made of columns of obs and points together. Points without a reading have no rows; days are grouped
+    before they are written out.
+    """
+    rows = obs.join(points, "pixel_id").select("point_id", day.alias("__day"), period.alias("period"), F.col(nbr).alias("__x"))
+    means = rows.groupBy("point_id", "__day", "period").agg(F.avg("__x").alias("nbr"))
+    return means.select("point_id", F.date_format("__day", "yyyy-MM-dd").alias("date"), "nbr", "period")
 
 
 def point_means(obs: DataFrame, points: DataFrame, nbr: str) -> DataFrame:

@@ -30,6 +30,12 @@ def is_forest(fire_id: Column) -> Column:
     return (number <= 10) | (number >= 26)
 
 
+def calendar_window(year: Column, back: int = 1, forward: int = 1) -> tuple[Column, Column]:
+    """[January of `back` years before, January after `forward` years) around a calendar year."""
+    jan1 = lambda y: F.make_date(y, F.lit(1), F.lit(1))
+    return jan1(year - back), jan1(year + forward + 1)
+
+
 def with_windows(fires: DataFrame, *, pre_months: int = 12, inclusive_end: bool = True, back: int = 1, forward: int = 1) -> DataFrame:
     """fires with the half-open windows of their composites and of their series.
 

@@ -17,8 +17,9 @@ from ..operators import prep as P
 from ..operators import series as S
 from ..operators import timeutil as D
 from ..operators import training as Tr
-from ..schema import BRIGHTNESS, FIRE_COLUMNS, GREENNESS, INTERCEPTS, OLI_BANDS, OPTICAL, SCHEME_A, SCHEME_B, SLOPES, TM_BANDS, WETNESS, catalogue_rows
-from ..sources.tables import bbox_overlap, one_record, table
+from ..schema import BRIGHTNESS, FIRE_COLUMNS, GREENNESS, INTERCEPTS, LEGEND, OLI_BANDS, OPTICAL, SCHEME_A, SCHEME_B, SLOPES, TM_BANDS, WETNESS, catalogue_rows
+from ..session import scratch_folder
+from ..sources.tables import bbox_overlap, one_record, table, write_csv, write_table
 from .training_data import DAY_SQL, FIRE_SQL
 
 ROUND = 12  # digits of results that sum in no fixed order
@@ -46,7 +47,7 @@ FRAC_SQL = "year({0}) + CAST(dayofyear({0}) - 1 AS DOUBLE) / CAST(date_diff('day
 
 
 def ts_features(spark: SparkSession, folder: str) -> DataFrame:
-    found = S.ts_features(_rows(spark, folder), pixel="pixel_id", order=["day", "obs_id"], key="obs_id", time=D.frac_year(F.col("day")).cast("float").cast("double"), nbr="nbr")
+    found = S.ts_features(_rows(spark, folder), pixel="pixel_id", order=["day", "obs_id"], key="obs_id", counted=table(spark, folder, "chart_rows"), time=D.frac_year(F.col("day")).cast("float").cast("double"), nbr="nbr")
     return found.withColumns({c: F.round(c, ROUND) for c in ("max_drop", "dnbr")})
 
 
@@ -301,8 +302,8 @@ LONG_SQL = "w AS (SELECT pixel_id, CAST(substr(name, 16) AS INT) AS year, code F
 
 
 def lulc_unpivot_year(spark: SparkSession, folder: str) -> DataFrame:
-    """Long form, back to wide for three years."""
-    return L.to_wide(L.to_long(table(spark, folder, "lulc_wide")), [2013, 2014, 2015])
+    """Long form, and back to wide."""
+    return L.to_wide(L.to_long(table(spark, folder, "lulc_wide")), list(range(2000, 2025)))
 
 
 def lulc_year(spark: SparkSession, folder: str) -> DataFrame:
@@ -346,18 +347,91 @@ REGION = (-72.5, -44.0, -69.0, -40.0)
 
 def point_lookup(spark: SparkSession, folder: str) -> DataFrame:
     points = one_record(table(spark, folder, "training_locations").select("point_id", "pixel_id", "loaded_at"), "point_id")
-    return S.point_means(_readings(spark, folder), points, "nbr").select("point_id", "n", F.round("nbr", ROUND).alias("nbr"))
+    return S.point_means(S.of_points(_rows(spark, folder), points).distinct(), points, "nbr").select("point_id", "n", F.round("nbr", ROUND).alias("nbr"))
 
 
 def point_chart(spark: SparkSession, folder: str) -> DataFrame:
     """Charted series of every labelled point: day, mean nbr, period by the windows of its fire."""
     points = one_record(table(spark, folder, "training_locations").select("point_id", "pixel_id", "fire_id", "loaded_at"), "point_id").withColumn("entity", fire_number("fire_id"))
     points = Tr.left_lookup(points, _fires(spark, folder).select("entity", "pre_lwr", "pre_upr", "post_lwr", "post_end"), "entity").drop("fire_id", "loaded_at")
-    obs = _readings(spark, folder).select("pixel_id", "day", "nbr")
+    obs = S.of_points(_rows(spark, folder), points).distinct()
     period = D.period_tag(F.col("day"), F.col("pre_lwr"), F.col("pre_upr"), F.col("post_lwr"), F.col("post_end"))
-    rows = obs.join(points, "pixel_id").select("point_id", "day", period.alias("period"), "nbr")
-    means = rows.groupBy("point_id", "day", "period").agg(F.round(F.avg("nbr"), ROUND).alias("nbr"))
-    return means.select("point_id", F.date_format("day", "yyyy-MM-dd").alias("date"), "period", "nbr")
+    chart = S.point_series(obs, points, day=F.col("day"), nbr="nbr", period=period)
+    return chart.select("point_id", "date", "period", F.round("nbr", ROUND).alias("nbr"))
+
+
+# Four sensors by order number, scenes and their rectangles from orders, a region of parts.
+SENSOR_OF = ["LT05", "LE07", "LC08", "LC09"]
+RECTANGLE = ["CAST(o_custkey % 97 AS DOUBLE) / 10 - 75", "CAST(o_custkey % 89 AS DOUBLE) / 10 - 48", "CAST(o_custkey % 97 AS DOUBLE) / 10 - 74", "CAST(o_custkey % 89 AS DOUBLE) / 10 - 47"]
+
+
+def _scenes(spark: SparkSession, folder: str) -> DataFrame:
+    corners = [F.expr(e).alias(c) for e, c in zip(RECTANGLE, ("xmin", "ymin", "xmax", "ymax"))]
+    sensor = F.element_at(F.array(*[F.lit(s) for s in SENSOR_OF]), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    return table(spark, folder, "orders").select(F.col("o_orderkey").cast("string").alias("scene_id"), sensor.alias("sensor"), F.col("o_orderdate").cast("timestamp").alias("time_start"), *corners)
+
+
+def landsat_region(spark: SparkSession, folder: str) -> DataFrame:
+    """All four sensors in one region: scenes whose rectangle touches it, and of these the pixels inside."""
+    lines = table(spark, folder, "lineitem")
+    keys = [F.col("l_partkey").alias("pixel_id"), F.col("l_orderkey").cast("string").alias("scene_id"), F.col("l_shipdate").alias("ts"), (F.col("l_orderkey") % 256).alias("QA_PIXEL")]
+
+    def of(k: int, sensor: str) -> DataFrame:
+        names = TM_BANDS if sensor in ("LT05", "LE07") else OLI_BANDS
+        numbers = [F.expr(NUMBERS[b]).cast("int").alias(n) for b, n in zip(OPTICAL, names)]
+        return lines.where(F.col("l_orderkey") % 4 == k).select(*keys, F.lit(sensor).alias("sensor"), *numbers)
+
+    pixels = table(spark, folder, "part").where("p_size <= 25").select(F.col("p_partkey").alias("pixel_id"))
+    raw = {s: of(k, s) for k, s in enumerate(SENSOR_OF)}
+    out = P.get_landsat(raw, BEGIN, END, I.add_nbr_ndvi, scenes=_scenes(spark, folder), roi=REGION, roi_pixels=pixels)
+    return out.select("scene_id", "pixel_id", "sensor", *[F.col(b).cast("double").alias(b) for b in ("nir", "swir2")], "nbr", "ndvi")
+
+
+def scene_period(spark: SparkSession, folder: str) -> DataFrame:
+    """Each scene's period next to the values of its pixels."""
+    bounds = [F.lit(d).cast("timestamp") for d in SCENE_PERIODS]
+    scenes = _scenes(spark, folder).withColumn("period", D.period_tag(F.col("time_start"), *bounds))
+    values = table(spark, folder, "lineitem").select(F.col("l_orderkey").cast("string").alias("scene_id"), F.col("l_partkey").alias("pixel_id"), "l_linenumber")
+    return P.with_scene(values, scenes, "sensor", "period").select("scene_id", "pixel_id", "l_linenumber", "sensor", "period")
+
+
+SCENE_PERIODS = ("1995-01-01", "1996-06-30", "1997-03-01", "1998-08-02")
+
+
+def lulc_legend(spark: SparkSession, folder: str) -> DataFrame:
+    """Every pixel's cover in each year by name, counted; codes that the legend lacks have a null name."""
+    rows = L.to_long(table(spark, folder, "lulc_wide")).groupBy("year", "class").count()
+    return L.with_names(rows).select("year", "class", "name", F.col("count").alias("n"))
+
+
+def annual_mosaic(spark: SparkSession, folder: str) -> DataFrame:
+    """Mosaic of an annual burned-area product in a region."""
+    roi = table(spark, folder, "training_locations").where("class = 'unburned'")
+    return B.product_mosaic(B.annual_images(table(spark, folder, "burn_month")), "burn_date", roi_pixels=roi)
+
+
+def calendar_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Calendar years around the year of each catalogued fire, for its series."""
+    begin, end = D.calendar_window(F.year("pre_upr"))
+    return Tr.fire_catalogue(spark).select("fire_id", begin.alias("begin"), end.alias("end"))
+
+
+def one_fire(spark: SparkSession, folder: str) -> DataFrame:
+    """The metadata of one fire, from its id alone."""
+    fires = D.with_windows(Tr.fire_catalogue(spark))
+    found = Tr.one_fire(fires, "fire_07")
+    return spark.createDataFrame([(found["fire_id"], found["description"], found["pre_lwr"], found["post_end"])], "fire_id string, description string, pre_lwr date, post_end date")
+
+
+def export_points(spark: SparkSession, folder: str) -> DataFrame:
+    """The points of each fire in a folder of its own, and as CSV; read back from both."""
+    points = table(spark, folder, "training_locations").select("point_id", fire_label(fire_number("fire_id")).alias("fire_id"), "lon").distinct()
+    place = scratch_folder(spark, "export_points")
+    write_table(points, f"{place}/parquet", ["fire_id"])
+    write_csv(points, f"{place}/csv")
+    a = spark.read.parquet(f"{place}/parquet").select("point_id", F.col("fire_id").cast("string").alias("fire_id"), "lon", F.lit("parquet").alias("form"))
+    b = spark.read.schema("point_id bigint, fire_id string, lon double").option("header", True).csv(f"{place}/csv").withColumn("form", F.lit("csv"))
+    return a.unionByName(b)
 
 
 def points_union_meta(spark: SparkSession, folder: str) -> DataFrame:
@@ -403,8 +477,32 @@ QUERIES = {
     "point_lookup": point_lookup,
     "point_chart": point_chart,
     "points_union_meta": points_union_meta,
+    "landsat_region": landsat_region,
+    "scene_period": scene_period,
+    "lulc_legend": lulc_legend,
+    "annual_mosaic": annual_mosaic,
+    "calendar_windows": calendar_windows,
+    "one_fire": one_fire,
+    "export_points": export_points,
 }
 
+
+def _sensor_sql(number: str) -> str:
+    return f"CASE {number} % 4 " + " ".join(f"WHEN {k} THEN '{s}'" for k, s in enumerate(SENSOR_OF)) + " END"
+
+
+def _region_sql() -> str:
+    bands = []
+    for b, slope, add in zip(OPTICAL, SLOPES, INTERCEPTS):
+        dn = f"(CAST({NUMBERS[b]} AS DOUBLE) * CAST(0.0000275 AS DOUBLE) + CAST(-0.2 AS DOUBLE))"
+        bands.append(f"CAST(CAST(CASE WHEN l_orderkey % 4 < 2 THEN {dn} * CAST({slope} AS DOUBLE) + CAST({add} AS DOUBLE) ELSE {dn} END AS FLOAT) AS DOUBLE) AS {b}")
+    x0, y0, x1, y1 = RECTANGLE
+    return f"""WITH s AS (SELECT o_orderkey FROM orders WHERE {x0} <= {REGION[2]}::DOUBLE AND {x1} >= {REGION[0]}::DOUBLE AND {y0} <= {REGION[3]}::DOUBLE AND {y1} >= {REGION[1]}::DOUBLE),
+o AS (SELECT CAST(l_orderkey AS VARCHAR) AS scene_id, l_partkey AS pixel_id, {_sensor_sql("l_orderkey")} AS sensor, {", ".join(bands)} FROM lineitem
+  WHERE (l_orderkey % 256) & 186 = 0 AND l_shipdate >= TIMESTAMP '{BEGIN}' AND l_shipdate < TIMESTAMP '{END}' AND l_orderkey IN (SELECT o_orderkey FROM s) AND l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 25))
+SELECT scene_id, pixel_id, sensor, nir, swir2, {_index_list(["nbr", "ndvi"])} FROM o"""
+
+
 POINTS_SQL = f"points AS (SELECT *, {FIRE_SQL.format('fire_id')} AS k FROM training_locations QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY loaded_at) = 1)"
 BURN_SQL = "b AS (SELECT pixel_id, CAST(year(ts) AS SMALLINT) AS y FROM burn_month WHERE burn_date > 0 AND ts >= TIMESTAMP '2001-01-01' AND ts < TIMESTAMP '2026-01-01')"
 
@@ -439,7 +537,7 @@ AND pixel_id IN (SELECT pixel_id FROM training_locations WHERE class = 'burned')
     "mosaic_last_valid": "SELECT user_id, arg_max(value, row(ts, event_id)) AS v FROM events WHERE event_type <> 'error' AND value IS NOT NULL GROUP BY user_id",
     "lulc_reclass_a": f"WITH {LONG_SQL} SELECT pixel_id, year, {_case('code', SCHEME_A)} AS class FROM w",
     "lulc_reclass_b": f"WITH {LONG_SQL} SELECT pixel_id, year, {_case('code', SCHEME_B)} AS class FROM w",
-    "lulc_unpivot_year": "SELECT pixel_id, classification_2013, classification_2014, classification_2015 FROM lulc_wide",
+    "lulc_unpivot_year": "SELECT * FROM lulc_wide",
     "lulc_year": f"SELECT pixel_id, classification_2014 AS class, {_case('classification_2014', SCHEME_A)} AS class_a, {_case('classification_2014', SCHEME_B)} AS class_b FROM lulc_wide",
     "veg_at_fire": f"""WITH {POINTS_SQL}, {FIRES_SQL}, {LONG_SQL}, j AS (SELECT p.point_id, f.lulc_year, {_case('w.code', SCHEME_A)} AS class
 FROM points p LEFT JOIN fires f ON p.k = f.entity LEFT JOIN w ON w.pixel_id = p.pixel_id AND w.year = f.lulc_year) SELECT point_id, lulc_year, class, class = 0 AS non_burnable FROM j""",
@@ -456,4 +554,15 @@ SELECT point_id, strftime(day, '%Y-%m-%d') AS date, CASE WHEN day BETWEEN pre_lw
     "points_union_meta": f"""WITH {POINTS_SQL}, {_values()} SELECT point_id, class, CASE WHEN k IS NULL THEN NULL ELSE printf('fire_%02d', k) END AS fire_id, c.polygon_id, c.description,
 CAST(c.pre_upr + 1 - INTERVAL 12 MONTH AS DATE) AS pre_lwr, c.pre_upr, c.post_lwr, c.post_upr_long, c.post_upr_short, c.polygon_id IS NOT NULL AS has_polygon
 FROM points p LEFT JOIN c ON c.fire_id = printf('fire_%02d', p.k) WHERE class IN ('burned', 'unburned')""",
+    "landsat_region": _region_sql(),
+    "scene_period": f"""SELECT CAST(l_orderkey AS VARCHAR) AS scene_id, l_partkey AS pixel_id, l_linenumber, {_sensor_sql("o_orderkey")} AS sensor, CASE WHEN o_orderkey IS NULL THEN NULL
+WHEN o_orderdate BETWEEN TIMESTAMP '{SCENE_PERIODS[0]}' AND TIMESTAMP '{SCENE_PERIODS[1]}' THEN 'Pre-fire' WHEN o_orderdate BETWEEN TIMESTAMP '{SCENE_PERIODS[2]}' AND TIMESTAMP '{SCENE_PERIODS[3]}' THEN 'Post-fire' ELSE 'Background' END AS period
+FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey""",
+    "lulc_legend": f"WITH {LONG_SQL}, g AS (SELECT * FROM (VALUES {', '.join(str((c, n)) for c, n, _, _ in LEGEND)}) AS x(code, name)) SELECT year, code AS class, name, count(*) AS n FROM w LEFT JOIN g USING (code) GROUP BY ALL",
+    "annual_mosaic": """SELECT pixel_id, arg_max(burn_date, row(year(ts), burn_date)) AS burn_date FROM burn_month WHERE burn_date > 0
+AND pixel_id IN (SELECT pixel_id FROM training_locations WHERE class = 'unburned') GROUP BY pixel_id""",
+    "calendar_windows": f'WITH {_values()} SELECT fire_id, make_date(year(pre_upr) - 1, 1, 1) AS begin, make_date(year(pre_upr) + 2, 1, 1) AS "end" FROM c',
+    "one_fire": "SELECT 'fire_07' AS fire_id, 'alerces_15' AS description, DATE '2014-03-19' AS pre_lwr, DATE '2016-01-01' AS post_end",
+    "export_points": f"""WITH p AS (SELECT DISTINCT point_id, {FIRE_SQL.format("fire_id")} AS k, lon FROM training_locations)
+SELECT point_id, CASE WHEN k IS NOT NULL THEN printf('fire_%03d', k) END AS fire_id, lon, form FROM p CROSS JOIN (VALUES ('parquet'), ('csv')) f(form)""",
 }

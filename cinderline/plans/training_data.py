@@ -52,16 +52,32 @@ def p2_bounds_stuck(spark: SparkSession, folder: str) -> DataFrame:
     return p2_faults(spark, folder).where("fault <> 'spike'")
 
 
+BOUNDS = ("2017-07", "2023-06")
+DIGITS = 12  # of means, which sum in no fixed order
+
+
+def _grid(spark: SparkSession, folder: str, **more) -> DataFrame:
+    return monthly_grid(table(spark, folder, "chart_rows"), source="pixel_id", day=parse_date("date"), value="nbr", key="obs_id", **more)
+
+
 def p5_grid(spark: SparkSession, folder: str) -> DataFrame:
-    return monthly_grid(table(spark, folder, "chart_rows"), source="pixel_id", day=parse_date("date"), value="nbr", key="obs_id")
+    """Every month with its mean or interpolated value. Infinite and very large values are readings too, so sums are left as
+    they are where a month or gap has one beyond a thousand."""
+    value = F.when(F.abs("value") < 1_000, F.round("value", DIGITS))
+    return _grid(spark, folder).select("pixel_id", "month", value.alias("value"), "n_readings", "state")
 
 
 def p5_states(spark: SparkSession, folder: str) -> DataFrame:
-    return p5_grid(spark, folder).select("pixel_id", "month", "n_readings", "state")
+    return _grid(spark, folder).select("pixel_id", "month", "n_readings", "state")
+
+
+def p5_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """The grid of every pixel from one month to another, months outside its readings marked."""
+    return _grid(spark, folder, bounds=BOUNDS).select("pixel_id", "month", "n_readings", "state")
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p5_grid(spark, folder).where("n_readings = 0").select("pixel_id", "month")
+    return _grid(spark, folder).where("n_readings = 0").select("pixel_id", "month")
 
 
 FIRE_SQL = "try_cast(nullif(regexp_extract({}, '([0-9]+)', 1), '') AS BIGINT)"
@@ -85,14 +101,14 @@ m AS (SELECT p.point_id, r.revision_id, r.pre_upr,
 """
 
 MONTHS_SQL = f"""
-WITH t AS (SELECT DISTINCT pixel_id, obs_id, trim(date, ' \t\n\r' || chr(160)) AS s FROM chart_rows WHERE nbr IS NOT NULL AND NOT isnan(nbr) AND pixel_id IS NOT NULL),
-d AS (SELECT pixel_id, obs_id, {DAY_SQL} AS d FROM t),
-m AS (SELECT pixel_id, year(d) * 12 + month(d) - 1 AS m, count(*) AS n FROM d WHERE d IS NOT NULL GROUP BY ALL),
-g AS (SELECT pixel_id, m, n, lead(m) OVER (PARTITION BY pixel_id ORDER BY m) AS m2 FROM m),
-f AS (SELECT pixel_id, unnest(range(m + 1, m2)) AS m, m2 - m - 1 AS gap FROM g WHERE m2 > m + 1)
+WITH t AS (SELECT DISTINCT pixel_id, obs_id, nbr, trim(date, ' \t\n\r' || chr(160)) AS s FROM chart_rows WHERE nbr IS NOT NULL AND NOT isnan(nbr) AND pixel_id IS NOT NULL),
+d AS (SELECT pixel_id, obs_id, nbr, {DAY_SQL} AS d FROM t),
+m AS (SELECT pixel_id, year(d) * 12 + month(d) - 1 AS m, count(*) AS n, avg(nbr) AS v FROM d WHERE d IS NOT NULL GROUP BY pixel_id, m),
+g AS (SELECT pixel_id, m, n, v, lead(m) OVER w AS m2, lead(v) OVER w AS v2, lag(m) OVER w AS m0 FROM m WINDOW w AS (PARTITION BY pixel_id ORDER BY m)),
+f AS (SELECT pixel_id, m AS m1, unnest(range(m + 1, m2)) AS m, m2 - m - 1 AS gap, v, v2 FROM g WHERE m2 > m + 1)
 """
 
-QUERIES = {"p1_found": p1_found, "p1_asof": p1_asof, "p2_found": p2_found, "p2_faults": p2_faults, "p2_bounds_stuck": p2_bounds_stuck, "p5_found": p5_found, "p5_states": p5_states, "p5_grid": p5_grid}
+QUERIES = {"p1_found": p1_found, "p1_asof": p1_asof, "p2_found": p2_found, "p2_faults": p2_faults, "p2_bounds_stuck": p2_bounds_stuck, "p5_found": p5_found, "p5_states": p5_states, "p5_grid": p5_grid, "p5_bounds": p5_bounds}
 
 SQL = {
     "p1_found": ASOF_SQL + "SELECT point_id, revision_id FROM m WHERE k = 1",
@@ -108,4 +124,12 @@ UNION ALL SELECT DISTINCT obs_id, 'bounds' FROM t WHERE isnan(nbr) OR nbr NOT BE
     "p5_states": MONTHS_SQL
     + """SELECT pixel_id, printf('%04d-%02d', m // 12, m % 12 + 1) AS month, n AS n_readings, 'read' AS state FROM m
 UNION ALL SELECT pixel_id, printf('%04d-%02d', m // 12, m % 12 + 1), 0, CASE WHEN gap <= 3 THEN 'filled' ELSE 'missing' END FROM f""",
+    "p5_grid": MONTHS_SQL
+    + f""", o AS (SELECT pixel_id, m, v, n AS n_readings, 'read' AS state FROM m UNION ALL SELECT pixel_id, m, CASE WHEN gap <= 3 THEN v + (v2 - v) * (m - m1) / (gap + 1) END, 0, CASE WHEN gap <= 3 THEN 'filled' ELSE 'missing' END FROM f)
+SELECT pixel_id, printf('%04d-%02d', m // 12, m % 12 + 1) AS month, CASE WHEN abs(v) < 1000 THEN round(v, {DIGITS}) END AS value, n_readings, state FROM o""",
+    "p5_bounds": MONTHS_SQL
+    + f""", b AS (SELECT {int(BOUNDS[0][:4]) * 12 + int(BOUNDS[0][5:]) - 1} AS lo, {int(BOUNDS[1][:4]) * 12 + int(BOUNDS[1][5:]) - 1} AS hi),
+o AS (SELECT pixel_id, m, n AS n_readings, 'read' AS state FROM m UNION ALL SELECT pixel_id, m, 0, CASE WHEN gap <= 3 THEN 'filled' ELSE 'missing' END FROM f
+UNION ALL SELECT pixel_id, unnest(range(lo, m)), 0, 'outside' FROM g, b WHERE m0 IS NULL UNION ALL SELECT pixel_id, unnest(range(m + 1, hi + 1)), 0, 'outside' FROM g, b WHERE m2 IS NULL)
+SELECT pixel_id, printf('%04d-%02d', m // 12, m % 12 + 1) AS month, n_readings, state FROM o""",
 }

@@ -101,6 +101,7 @@ def raw_schema(bands: list[str]) -> T.StructType:
     )
 
 
+# One row per scene: its properties stand next to the pixels' values by scene_id.
 SCENE = T.StructType(
     [T.StructField("scene_id", T.StringType()), T.StructField("sensor", T.StringType()), T.StructField("time_start", T.TimestampType())]
     + [T.StructField(c, T.DoubleType()) for c in ("xmin", "ymin", "xmax", "ymax")]
