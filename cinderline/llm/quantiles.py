@@ -203,12 +203,19 @@ def _codes(table: pa.Table) -> tuple[np.ndarray, list[tuple]]:
     return code, keys
 
 
-def merge_sketches(sketches: DataFrame, groups: list[str]) -> DataFrame:
+def merge_sketches(sketches: DataFrame, groups: list[str], fan_in: int = 256) -> DataFrame:
     """(groups, low, high): the sketches of each group as one. groups may be fewer than the sketches were made for.
 
-    Sketches are merged one by one as they stream in, so a group with very many of them needs the memory of two.
+    Sketches are merged one by one as they stream in, so a group with very many of them needs the memory of two. They are
+    merged in two levels, first those of fan_in partitions each, so that no task has to take the sketches of all partitions
+    of a group that all of them hold.
     """
-    kept = sketches.select(*groups, "low", "high")
+    some = sketches.select(*groups, "low", "high", F.floor(F.spark_partition_id() / F.lit(fan_in)).alias("__part"))
+    return _merged(_merged(some, [*groups, "__part"]).drop("__part"), groups)
+
+
+def _merged(kept: DataFrame, groups: list[str]) -> DataFrame:
+    kept = kept.select(*groups, "low", "high")
     schema = ", ".join(f"`{n}` {t}" for n, t in kept.dtypes)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

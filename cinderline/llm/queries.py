@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import BLANK, INVISIBLE, fire_label, fire_number, period_label
-from ..sources.tables import one_delivery, one_record, table
+from ..session import cut_lineage
+from ..sources.tables import one_delivery, table
 from .canonical import canonical_text
 from .leakage import leaked_items
 from .lookalike import look_classes, lookalike_pairs
@@ -59,10 +60,14 @@ def p3_whole(spark: SparkSession, folder: str) -> DataFrame:
 SHARES = {"p01": 0.01, "p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
 
 
+def _nbr_rows(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "chart_rows").select("obs_id", "fire_id", period_label("period").alias("period"), "nbr", "loaded_at").where("nbr is not null")
+    return one_delivery(rows, "obs_id")
+
+
 def _nbr_sketches(spark: SparkSession, folder: str) -> DataFrame:
     """One sketch per fire, period and year of load; a redelivered row counts in the year of its first load."""
-    rows = table(spark, folder, "chart_rows").select("obs_id", "fire_id", period_label("period").alias("period"), "nbr", "loaded_at").where("nbr is not null")
-    return sketch_groups(one_delivery(rows, "obs_id"), groups={"fire_id": F.col("fire_id"), "period": F.col("period"), "load": F.year("loaded_at")}, value=F.col("nbr"))
+    return sketch_groups(_nbr_rows(spark, folder), groups={"fire_id": F.col("fire_id"), "period": F.col("period"), "load": F.year("loaded_at")}, value=F.col("nbr"))
 
 
 def p4_percentiles(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,6 +80,28 @@ def p4_extent(spark: SparkSession, folder: str) -> DataFrame:
     return read_quantiles(merge_sketches(_nbr_sketches(spark, folder), ["fire_id", "period"]), {"low": 0.0, "high": 1.0})
 
 
+WITHIN = 5 * 0.131 / 32  # five standard deviations of a rank, as a share of its distance from the near end
+
+
+def p4_bound(spark: SparkSession, folder: str) -> DataFrame:
+    """Per group, whether the exact ranks of all percentiles are within the bound of the ranks asked for."""
+    found = cut_lineage(p4_percentiles(spark, folder))
+    groups = [F.col("fire_id").eqNullSafe(F.col("g_fire")), F.col("period").eqNullSafe(F.col("g_period"))]
+    asked = found.select(F.col("fire_id").alias("g_fire"), F.col("period").alias("g_period"), "n", *SHARES)
+    few = found.limit(50_001).count() <= 50_000
+    rows = _nbr_rows(spark, folder).where("not isnan(nbr)").groupBy("fire_id", "period", "nbr").count()
+    rows = rows.join(F.broadcast(asked) if few else asked, groups[0] & groups[1])
+    counts = [F.sum(F.when(F.col("nbr") < F.col(p), F.col("count")).otherwise(0)).alias(f"{p}_below") for p in SHARES]
+    counts += [F.sum(F.when(F.col("nbr") <= F.col(p), F.col("count")).otherwise(0)).alias(f"{p}_upto") for p in SHARES]
+    ranks = rows.groupBy("fire_id", "period", "n").agg(F.sum("count").alias("exact_n"), *counts)
+    within = F.col("n") == F.col("exact_n")
+    for name, share in SHARES.items():
+        rank = F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(share) - F.lit(1e-9)))
+        off = F.greatest(F.col(f"{name}_below") + 1 - rank, rank - F.col(f"{name}_upto"), F.lit(0))
+        within = within & (off <= F.lit(WITHIN) * (rank if share <= 0.5 else F.col("n") - rank + 1))
+    return ranks.select("fire_id", "period", "n", within.alias("within"))
+
+
 def p4_loads(spark: SparkSession, folder: str) -> DataFrame:
     """The same of each load by itself."""
     return read_quantiles(_nbr_sketches(spark, folder), SHARES)
@@ -118,6 +145,7 @@ QUERIES = {
     "p3_whole": p3_whole,
     "p4_percentiles": p4_percentiles,
     "p4_extent": p4_extent,
+    "p4_bound": p4_bound,
     "p4_loads": p4_loads,
     "p6_ids": p6_ids,
     "p7_found": p7_found,
@@ -181,6 +209,9 @@ SELECT CAST(records AS BIGINT) AS records, components, 0::BIGINT AS parted, 0::B
     "p4_extent": """WITH t AS (SELECT DISTINCT obs_id, fire_id, regexp_replace(lower(period), '[^a-z]', '', 'g') AS p, nbr FROM chart_rows WHERE nbr IS NOT NULL),
 u AS (SELECT *, CASE p WHEN 'prefire' THEN 'Pre-fire' WHEN 'postfire' THEN 'Post-fire' WHEN 'background' THEN 'Background' END AS period FROM t)
 SELECT fire_id, period, count(*) AS n, min(nbr) AS low, max(nbr) AS high FROM u WHERE NOT isnan(nbr) GROUP BY fire_id, period""",
+    "p4_bound": """WITH t AS (SELECT DISTINCT obs_id, fire_id, regexp_replace(lower(period), '[^a-z]', '', 'g') AS p, nbr FROM chart_rows WHERE nbr IS NOT NULL),
+u AS (SELECT *, CASE p WHEN 'prefire' THEN 'Pre-fire' WHEN 'postfire' THEN 'Post-fire' WHEN 'background' THEN 'Background' END AS period FROM t)
+SELECT fire_id, period, count(*) AS n, true AS within FROM u WHERE NOT isnan(nbr) GROUP BY fire_id, period""",
     "p7_runs": f"""WITH i AS (SELECT item_id, {_words_sql("passage")} AS w FROM eval_items WHERE passage IS NOT NULL), d AS (SELECT doc_id, {_words_sql("text")} AS w FROM documents WHERE text IS NOT NULL),
 gi AS (SELECT DISTINCT item_id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM i)),
 gd AS (SELECT doc_id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM d))

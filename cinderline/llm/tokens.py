@@ -11,6 +11,8 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # Fixed value: the pattern that cuts texts into pre-tokens for this family of vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -59,6 +61,8 @@ def encode_corpus(documents: DataFrame, *, key: str, text: str, vocabulary: str
 
     One row per row of documents. A null text gives an empty list, and so does an empty one; the text is taken as it stands.
 
+    Only where no such place is found, as in one endless word, the chunks up to the next one are encoded in one go.
+
     Texts up to chunk_chars + overlap characters are one chunk and are encoded where they are read. Longer texts are cut
     into overlapping chunks, whose pre-tokens are found in parallel; two neighbouring chunks are stitched at the first place in
     their overlap where both end a pre-token, from which on they agree; chunks without such a place stay together.
@@ -93,11 +97,13 @@ def encode_corpus(documents: DataFrame, *, key: str, text: str, vocabulary: str
 
     # A long text is known by a number of its own, as keys may repeat.
     long_texts = source.where(is_long).withColumn("__row", F.monotonically_increasing_id()).select(F.struct(key, "__row").alias("__id"), "__t")
-    cut = chunks(long_texts, "__id", "__t", chunk_chars, overlap)
+    # The chunks are written once: the seams are found from numbers alone, and only then the texts are joined to them.
+    cut = cut_lineage(chunks(long_texts, "__id", "__t", chunk_chars, overlap))
     marked = cut.mapInArrow(zones, f"__id struct<`{key}`:{types[key]},__row:bigint>, n int, first int, chunk string, ended boolean, tail array<int>, head array<int>")
     by_text = Window.partitionBy("__id").orderBy("n")
-    seams = marked.withColumn("start", F.when(F.col("n") == 0, F.lit(0)).otherwise(F.array_min(F.array_intersect("head", F.lag("tail").over(by_text)))))
+    seams = marked.drop("chunk").withColumn("start", F.when(F.col("n") == 0, F.lit(0)).otherwise(F.array_min(F.array_intersect("head", F.lag("tail").over(by_text)))))
     seams = seams.withColumn("piece", F.count("start").over(by_text)).withColumn("stop", F.lead("start").over(by_text))
+    seams = seams.select("__id", "n", "first", "ended", "start", "stop", "piece").join(cut.select("__id", "n", "chunk"), ["__id", "n"])
     # Within a piece, each chunk brings its own part up to the next chunk, the last one up to the seam.
     own = F.col("chunk").substr(
         F.when(F.col("start").isNotNull(), F.col("start") - F.col("first") + 1).otherwise(F.lit(1)),

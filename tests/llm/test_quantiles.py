@@ -69,3 +69,18 @@ def test_groups_loads_and_dirty_values(spark):
             assert abs(at - rank) <= BOUND * min(rank, len(x) - rank + 1) + (0 if q != 0.5 else BOUND * len(x) / 2)
     assert merge_sketches(kept, []).count() == 1
     assert sketch_groups(df.limit(0), groups={"grp": F.col("grp")}, value=F.col("v")).count() == 0
+
+
+def test_a_group_that_very_many_partitions_hold(spark):
+    rng = np.random.default_rng(3)
+    parts = []
+    for k in range(1_000):
+        pair = RankSketch(False), RankSketch(True)
+        for sketch in pair:
+            sketch.update(np.arange(k, 60_000, 1_000) + rng.random(60) * 0)
+        parts.append(("hot", bytearray(pair[0].to_bytes()), bytearray(pair[1].to_bytes())))
+    sketches = spark.createDataFrame(parts, "grp string, low binary, high binary").repartition(40)
+    for groups in (["grp"], []):
+        row = read_quantiles(merge_sketches(sketches, groups, fan_in=8), {"p01": 0.01, "p99": 0.99}).collect()
+        assert len(row) == 1 and row[0].n == 60_000
+        assert abs(row[0].p01 - 600) <= BOUND * 600 + 1 and abs(row[0].p99 - 59_400) <= BOUND * 600 + 1
