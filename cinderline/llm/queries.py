@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,8 +105,8 @@ def p4_bound(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_loads(spark: SparkSession, folder: str) -> DataFrame:
-    """The same of each load by itself."""
-    return read_quantiles(_nbr_sketches(spark, folder), SHARES)
+    """What each load by itself holds."""
+    return read_quantiles(_nbr_sketches(spark, folder), {"low": 0.0, "high": 1.0})
 
 
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -181,6 +183,29 @@ def _skeleton_sql(column: str) -> str:
     return mapped(f"nfc_normalize({out})")
 
 
+def _canonical_sql() -> str:
+    """The canonical text in SQL: the look-alike form, in whose Cyrillic words the letters go back (no other script stands in these tables)."""
+    back = {latin: other for other, latin in zip(*SQL_CYRILLIC) if other not in "ҮӀЁЀЇёѐї"}
+    one, more = dict(back), {}
+    for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
+        parts = unicodedata.normalize("NFD", chr(c))
+        if len(parts) > 1 and parts[0] in back:
+            own = unicodedata.normalize("NFC", back[parts[0]] + parts[1:])
+            (one if len(own) == 1 else more)[chr(c)] = own
+    turned = f"translate(w, {_quoted(''.join(one))}, {_quoted(''.join(one.values()))})"
+    for char, own in more.items():
+        turned = f"replace({turned}, '{char}', '{own}')"
+    cyrillic, letters = r"\x{400}-\x{52f}", r"\p{L}\p{Nl}\p{No}"
+    twins = "".join(back)
+    twin_words = "".join(c for c in back if c not in "VvlGQW")
+    plain = "".join(c for c in map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B)]) if c not in back)
+    return f"""WITH k AS (SELECT doc_id, {_skeleton_sql("text")} AS s FROM documents),
+m AS (SELECT doc_id, s, regexp_extract_all(s, '[{letters}]+|[^{letters}]+') AS parts,
+  length(regexp_replace(strip_accents(s), '[^{cyrillic}]', '', 'g')) > length(regexp_replace(strip_accents(s), '[^{plain}\\x{{aa}}\\x{{b2}}\\x{{b3}}\\x{{b9}}\\x{{ba}}\\x{{bc}}-\\x{{be}}\\x{{c0}}-\\x{{24f}}]', '', 'g')) AS mostly FROM k)
+SELECT doc_id, CASE WHEN s IS NOT NULL THEN array_to_string(list_transform(parts, lambda w: CASE
+  WHEN regexp_full_match(strip_accents(w), '[{cyrillic}{twins}]+') AND (regexp_matches(w, '[{cyrillic}]') OR (mostly AND regexp_full_match(strip_accents(w), '[{twin_words}]+'))) THEN {turned} ELSE w END), '') END AS text FROM m"""
+
+
 NAME_SQL = f"""list_sort(list_distinct(list_filter(regexp_split_to_array(lower(strip_accents(regexp_replace(author, '{INVISIBLE}', '', 'g'))), '({BLANK}|,)+'), lambda w: w <> '')))"""
 def _words_sql(column: str) -> str:
     return f"regexp_extract_all(lower(strip_accents({_skeleton_sql(column)})), '[\\p{{L}}\\p{{N}}]+')"
@@ -212,12 +237,17 @@ SELECT fire_id, period, count(*) AS n, min(nbr) AS low, max(nbr) AS high FROM u
     "p4_bound": """WITH t AS (SELECT DISTINCT obs_id, fire_id, regexp_replace(lower(period), '[^a-z]', '', 'g') AS p, nbr FROM chart_rows WHERE nbr IS NOT NULL),
 u AS (SELECT *, CASE p WHEN 'prefire' THEN 'Pre-fire' WHEN 'postfire' THEN 'Post-fire' WHEN 'background' THEN 'Background' END AS period FROM t)
 SELECT fire_id, period, count(*) AS n, true AS within FROM u WHERE NOT isnan(nbr) GROUP BY fire_id, period""",
+    "p4_loads": """WITH t AS (SELECT obs_id, fire_id, regexp_replace(lower(period), '[^a-z]', '', 'g') AS p, nbr, loaded_at FROM chart_rows WHERE nbr IS NOT NULL),
+u AS (SELECT *, CASE p WHEN 'prefire' THEN 'Pre-fire' WHEN 'postfire' THEN 'Post-fire' WHEN 'background' THEN 'Background' END AS period FROM t),
+o AS (SELECT obs_id, fire_id, period, nbr, CAST(year(min(loaded_at)) AS INTEGER) AS load FROM u WHERE NOT isnan(nbr) GROUP BY ALL)
+SELECT fire_id, period, load, count(*) AS n, min(nbr) AS low, max(nbr) AS high FROM o GROUP BY ALL""",
     "p7_runs": f"""WITH i AS (SELECT item_id, {_words_sql("passage")} AS w FROM eval_items WHERE passage IS NOT NULL), d AS (SELECT doc_id, {_words_sql("text")} AS w FROM documents WHERE text IS NOT NULL),
 gi AS (SELECT DISTINCT item_id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM i)),
 gd AS (SELECT doc_id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM d))
 SELECT DISTINCT doc_id, item_id FROM gd JOIN gi USING (g)""",
     "p8_found": f"""WITH d AS (SELECT doc_id, text, {_skeleton_sql("text")} AS look FROM documents WHERE text IS NOT NULL), v AS (SELECT * FROM d WHERE regexp_matches(look, '[^\\s]'))
 SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM v a JOIN v b ON a.look = b.look AND a.doc_id < b.doc_id AND a.text <> b.text""",
+    "p8_canonical": _canonical_sql(),
     "p8_classes": f"""WITH d AS (SELECT doc_id, text, {_skeleton_sql("text")} AS look FROM documents WHERE text IS NOT NULL)
 SELECT doc_id, md5(look) AS look, md5(text) AS form FROM d WHERE regexp_matches(look, '[^\\s]')""",
 }
