@@ -10,13 +10,15 @@ def window_medians(obs: DataFrame, by: list[str], windows: dict[str, Column], ba
     """by, and the median of each band in each window (band_window), from one pass over obs.
 
     windows: conditions on a reading. Null values are skipped; a window without values gives null. The median of an even
-    number of values is the mean of the middle two. One shuffle, on `by`, after partial aggregation.
+    number of values is the mean of the middle two. One shuffle, on `by`, after partial aggregation. Medians are exact, so a group's
+    distinct values are held together: meant for the readings of a pixel, not for groups of unbounded size.
     """
     aggregates = [F.median(F.when(cond, F.col(b).cast("double"))).alias(f"{b}_{name}") for name, cond in windows.items() for b in bands]
     return obs.groupBy(*by).agg(*aggregates)
 
 
 def median_composite(obs: DataFrame, by: list[str], bands: list[str]) -> DataFrame:
+    """by, and the exact median of each band, see window_medians."""
     return obs.groupBy(*by).agg(*[F.median(F.col(b).cast("double")).alias(b) for b in bands])
 
 

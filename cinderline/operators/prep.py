@@ -71,7 +71,7 @@ def scenes_over(scenes: DataFrame, roi: tuple[float, float, float, float]) -> Da
 
 def with_scene(obs: DataFrame, scenes: DataFrame, *columns: str) -> DataFrame:
     """obs with columns of its scene next to each pixel's values; unknown scenes give nulls. scenes is unique by scene_id."""
-    return left_lookup(obs, scenes.select("scene_id", *columns), "scene_id")
+    return left_lookup(obs, scenes.select("scene_id", *columns), "scene_id", broadcast_rows=200_000)  # rows of an id and a few properties
 
 
 def get_landsat(

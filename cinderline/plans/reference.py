@@ -347,14 +347,14 @@ REGION = (-72.5, -44.0, -69.0, -40.0)
 
 def point_lookup(spark: SparkSession, folder: str) -> DataFrame:
     points = one_record(table(spark, folder, "training_locations").select("point_id", "pixel_id", "loaded_at"), "point_id")
-    return S.point_means(S.of_points(_rows(spark, folder), points).distinct(), points, "nbr").select("point_id", "n", F.round("nbr", ROUND).alias("nbr"))
+    return S.point_means(S.of_points(_rows(spark, folder), table(spark, folder, "training_locations")).distinct(), points, "nbr").select("point_id", "n", F.round("nbr", ROUND).alias("nbr"))
 
 
 def point_chart(spark: SparkSession, folder: str) -> DataFrame:
     """Charted series of every labelled point: day, mean nbr, period by the windows of its fire."""
     points = one_record(table(spark, folder, "training_locations").select("point_id", "pixel_id", "fire_id", "loaded_at"), "point_id").withColumn("entity", fire_number("fire_id"))
     points = Tr.left_lookup(points, _fires(spark, folder).select("entity", "pre_lwr", "pre_upr", "post_lwr", "post_end"), "entity").drop("fire_id", "loaded_at")
-    obs = S.of_points(_rows(spark, folder), points).distinct()
+    obs = S.of_points(_rows(spark, folder), table(spark, folder, "training_locations")).distinct()
     period = D.period_tag(F.col("day"), F.col("pre_lwr"), F.col("pre_upr"), F.col("post_lwr"), F.col("post_end"))
     chart = S.point_series(obs, points, day=F.col("day"), nbr="nbr", period=period)
     return chart.select("point_id", "date", "period", F.round("nbr", ROUND).alias("nbr"))
