@@ -120,6 +120,18 @@ def point_series(obs: DataFrame, points: DataFrame, *, day: Column, nbr: str, pe
     return means.select("point_id", F.date_format("__day", "yyyy-MM-dd").alias("date"), "nbr", "period")
 
 
+def nearest_pixel(places: DataFrame, lon: float, lat: float) -> DataFrame:
+    """(pixel_id) of the place (pixel_id, lon, lat) nearest to a position, the least id of equally near ones; no row without places."""
+    off = (F.col("lon") - F.lit(lon)) ** 2 + (F.col("lat") - F.lit(lat)) ** 2
+    near = places.where("pixel_id is not null and lon is not null and lat is not null").agg(F.min(F.struct(off.alias("d"), F.col("pixel_id"))).alias("m"))
+    return near.where("m is not null").select(F.col("m.pixel_id").alias("pixel_id"))
+
+
+def panel(chart: DataFrame) -> DataFrame:
+    """A chart of points (see point_series) with the ends of each point's axis (see series_limits) on its rows."""
+    return chart.join(series_limits(chart, ["point_id"], "nbr"), "point_id")
+
+
 def point_means(obs: DataFrame, points: DataFrame, nbr: str) -> DataFrame:
     """(point_id, n, nbr): mean over the readings of the pixel that holds the point, n 0 and null without any.
 

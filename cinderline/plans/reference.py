@@ -360,6 +360,22 @@ def point_chart(spark: SparkSession, folder: str) -> DataFrame:
     return chart.select("point_id", "date", "period", F.round("nbr", ROUND).alias("nbr"))
 
 
+CLICK = (-71.5, -42.5)
+
+
+def click_panel(spark: SparkSession, folder: str) -> DataFrame:
+    """What a click on the map shows: the chart of the nearest labelled pixel, in its fire's periods, with its axis."""
+    points = table(spark, folder, "training_locations").select("point_id", "pixel_id", "fire_id", "lon", "lat")
+    pixel = S.nearest_pixel(points, *CLICK)
+    place = points.join(F.broadcast(pixel), "pixel_id").groupBy("pixel_id").agg(F.min_by("fire_id", "point_id").alias("fire_id"))
+    place = place.select(F.lit(0).alias("point_id"), "pixel_id", fire_number("fire_id").alias("entity"))
+    place = Tr.left_lookup(place, _fires(spark, folder).select("entity", "pre_lwr", "pre_upr", "post_lwr", "post_end"), "entity")
+    obs = _rows(spark, folder).join(F.broadcast(pixel), "pixel_id", "left_semi").distinct()
+    period = D.period_tag(F.col("day"), F.col("pre_lwr"), F.col("pre_upr"), F.col("post_lwr"), F.col("post_end"))
+    chart = S.panel(S.point_series(obs, place, day=F.col("day"), nbr="nbr", period=period))
+    return chart.select("date", "period", *[F.round(c, ROUND).alias(c) for c in ("nbr", "y_min", "y_max")])
+
+
 # Four sensors by order number, scenes and their rectangles from orders, a region of parts.
 SENSOR_OF = ["LT05", "LE07", "LC08", "LC09"]
 RECTANGLE = ["CAST(o_custkey % 97 AS DOUBLE) / 10 - 75", "CAST(o_custkey % 89 AS DOUBLE) / 10 - 48", "CAST(o_custkey % 97 AS DOUBLE) / 10 - 74", "CAST(o_custkey % 89 AS DOUBLE) / 10 - 47"]
@@ -477,6 +493,7 @@ QUERIES = {
     "point_lookup": point_lookup,
     "point_chart": point_chart,
     "points_union_meta": points_union_meta,
+    "click_panel": click_panel,
     "landsat_region": landsat_region,
     "scene_period": scene_period,
     "lulc_legend": lulc_legend,
@@ -554,6 +571,13 @@ SELECT point_id, strftime(day, '%Y-%m-%d') AS date, CASE WHEN day BETWEEN pre_lw
     "points_union_meta": f"""WITH {POINTS_SQL}, {_values()} SELECT point_id, class, CASE WHEN k IS NULL THEN NULL ELSE printf('fire_%02d', k) END AS fire_id, c.polygon_id, c.description,
 CAST(c.pre_upr + 1 - INTERVAL 12 MONTH AS DATE) AS pre_lwr, c.pre_upr, c.post_lwr, c.post_upr_long, c.post_upr_short, c.polygon_id IS NOT NULL AS has_polygon
 FROM points p LEFT JOIN c ON c.fire_id = printf('fire_%02d', p.k) WHERE class IN ('burned', 'unburned')""",
+    "click_panel": f"""WITH {READINGS_SQL}, {FIRES_SQL}, n AS (SELECT pixel_id FROM training_locations WHERE lon IS NOT NULL AND lat IS NOT NULL AND pixel_id IS NOT NULL
+  ORDER BY pow(lon - ({CLICK[0]}::DOUBLE), 2) + pow(lat - ({CLICK[1]}::DOUBLE), 2), pixel_id LIMIT 1),
+p AS (SELECT pixel_id, {FIRE_SQL.format("min_by(fire_id, point_id)")} AS k FROM training_locations JOIN n USING (pixel_id) GROUP BY pixel_id),
+c AS (SELECT strftime(day, '%Y-%m-%d') AS date, CASE WHEN day BETWEEN pre_lwr AND pre_upr THEN 'Pre-fire' WHEN day BETWEEN post_lwr AND post_end THEN 'Post-fire' ELSE 'Background' END AS period, avg(nbr) AS nbr
+  FROM p LEFT JOIN fires f ON p.k = f.entity JOIN readings r ON r.pixel_id = p.pixel_id GROUP BY ALL),
+l AS (SELECT min(nbr) AS lo, max(nbr) AS hi FROM c)
+SELECT date, period, round(nbr, {ROUND}) AS nbr, round(lo - (hi - lo) * 0.2::DOUBLE, {ROUND}) AS y_min, round(hi + (hi - lo) * 0.2::DOUBLE, {ROUND}) AS y_max FROM c, l""",
     "landsat_region": _region_sql(),
     "scene_period": f"""SELECT CAST(l_orderkey AS VARCHAR) AS scene_id, l_partkey AS pixel_id, l_linenumber, {_sensor_sql("o_orderkey")} AS sensor, CASE WHEN o_orderkey IS NULL THEN NULL
 WHEN o_orderdate BETWEEN TIMESTAMP '{SCENE_PERIODS[0]}' AND TIMESTAMP '{SCENE_PERIODS[1]}' THEN 'Pre-fire' WHEN o_orderdate BETWEEN TIMESTAMP '{SCENE_PERIODS[2]}' AND TIMESTAMP '{SCENE_PERIODS[3]}' THEN 'Post-fire' ELSE 'Background' END AS period
