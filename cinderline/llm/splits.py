@@ -37,15 +37,15 @@ def linked_nodes(records: DataFrame, *, key: str, links: dict[str, Column], keep
 
     links names the ties, each a STRING column or null. Records with an equal tie are of one component, also by way of
     further records. A record's node is its first tie that is not null; without any it stands alone, as its key or, where that is
-    null, under a number of its own. With keep the records' nodes are written once, for who reads them again.
+    null, under a number of its own. With keep the records' nodes are written once, for who reads them again; without it only the labels serve.
     """
     names = list(links)
     ties = records.select(F.col(key), *[F.concat(F.lit(f"{n}:"), links[n]).alias(f"__{n}") for n in names])
     tied = F.coalesce(*[F.col(f"__{n}") for n in names])
     alone = F.coalesce(F.concat(F.lit("alone:"), F.col(key).cast("string")), F.concat(F.lit("unnamed:"), F.monotonically_increasing_id().cast("string")))
     placed = ties.select(F.col(key), F.coalesce(tied, alone).alias("node"), F.array(*[F.col(f"__{n}") for n in names]).alias("ties"))
-    if keep or ties.where(F.col(key).isNull() & tied.isNull()).limit(1).count():
-        placed = cut_lineage(placed)  # numbers must not change between reads
+    if keep:
+        placed = cut_lineage(placed)  # also, numbers must not change between reads
     edges = placed.select(F.col("node").alias("u"), F.explode("ties").alias("v")).where("v is not null")
     return placed.select(key, "node"), components(edges)
 
@@ -152,5 +152,5 @@ def split_together(records: DataFrame, *, key: str, links: dict[str, Column], pa
     ranked = groups.join(before, ["size", "slot"]).withColumn("rank", F.col("before") + F.row_number().over(Window.partitionBy("size", "slot").orderBy("root")))
     part = F.size(F.filter("upto", lambda u: u < F.col("rank")))
     chosen = ranked.join(F.broadcast(plan), "size").select("root", F.element_at(F.array(*[F.lit(n) for n in names]), part + 1).alias("split"))
-    by_node = nodes.join(chosen, "root").select("node", F.col("root").alias("component"), "split")
+    by_node = left_lookup(nodes, cut_lineage(chosen), "root").select("node", F.col("root").alias("component"), "split")
     return left_lookup(placed, cut_lineage(by_node), "node").select(key, "component", "split")
