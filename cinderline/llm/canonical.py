@@ -131,12 +131,27 @@ def text_of(codes: np.ndarray) -> str:
     return codes.astype("<u4", copy=False).tobytes().decode("utf-32-le", "surrogatepass")
 
 
-def skeletons(texts: list[str], batch_chars: int = 50_000) -> list[str]:
-    """skeleton() of each text, those without an unstable character through the table, many at a time."""
+def pieces(text: str, most: int = 1_000_000) -> list[str]:
+    """The text in pieces of about so many characters that begin with a plain space, with which nothing before it combines."""
+    out, at = [], 0
+    while len(text) - at > most:
+        cut = text.find(" ", at + most)
+        if cut < 0:
+            break
+        out.append(text[at:cut])
+        at = cut
+    return [*out, text[at:]]
+
+
+def skeletons(texts: list[str], batch_chars: int = 50_000, piece_chars: int = 1_000_000) -> list[str]:
+    """skeleton() of each text, those without an unstable character through the table, many at a time; very long ones in pieces."""
     out, rows, chars = list(texts), [], 0
     for i, text in enumerate(texts):
         if text.isascii() and "\r" not in text:
             continue
+        if len(text) > 2 * piece_chars:
+            out[i] = "".join(new for piece in pieces(text, piece_chars) for new in _mapped([piece]))
+            continue
         rows.append(i)
         chars += len(text)
         if chars >= batch_chars:

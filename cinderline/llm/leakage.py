@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .canonical import LOOKED_AT, codes_of, skeleton, skeletons, text_of
+from .canonical import LOOKED_AT, codes_of, pieces, skeletons, text_of
 
 MARKS = dict.fromkeys(range(0x300, 0x370))
 LINE = 0x0A
@@ -311,10 +311,16 @@ def find_leaks(index: LeakIndex, texts: list[str | None], folded: bool = False)
     words are there if it is there as a whole (with changes), else 0, and whether the item's question is in the text too.
     One row per text and item. folded: the texts are of plain_words()."""
     rules = index.rules
-    there = [t or "" for t in texts]
-    lists = [t.split() for t in (there if folded else plain_words(there))]
-    length = np.array([len(x) for x in lists], np.int64)
-    tokens = np.fromiter(map(index.vocabulary.get, chain.from_iterable(lists), repeat(-1)), np.int64, int(length.sum()))
+    # very long texts in pieces, so that of their words no more than some are held as strings
+    parts = [(i, piece) for i, t in enumerate(texts) for piece in pieces(t or "")]
+    length, tokens = np.zeros(len(texts), np.int64), []
+    for part in _in_bounds([p for _, p in parts], 2_000_000):
+        plain = [p for _, p in parts[part]]
+        lists = [p.split() for p in (plain if folded else plain_words(plain))]
+        for (i, _), words_ in zip(parts[part], lists):
+            length[i] += len(words_)
+        tokens.append(np.fromiter(map(index.vocabulary.get, chain.from_iterable(lists), repeat(-1)), np.int64))
+    tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
     offset = np.cumsum(length) - length
     found: dict[tuple[int, int], list] = {}
     for d, s, i in zip(*(x.tolist() for x in retrieve(index.run, tokens, length))):

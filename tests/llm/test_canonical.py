@@ -68,6 +68,12 @@ def test_segments_give_what_whole_text_normalisation_gives(text):
     assert C.skeleton(text) == whole
 
 
+@settings(max_examples=100, deadline=None)
+@given(PIECES.map(lambda t: " ".join([t] * 4)))
+def test_pieces_of_a_long_text_give_what_the_whole_gives(text):
+    assert "".join(C.pieces(text, 7)) == text and C.skeletons([text], piece_chars=7) == [C.skeleton(text)]
+
+
 def test_the_quick_check_lets_no_unstable_character_pass():
     assert [c for c in range(0x80) if C.PROPERTY[c] != C.KEEP or C.TO[c] != c] == []  # the return is asked for by itself
 

@@ -3,6 +3,8 @@ import random
 import numpy as np
 import pytest
 
+from cinderline.llm import leakage
+from cinderline.llm.canonical import pieces
 from cinderline.llm.leakage import LeakRules, _grams, build_index, common_words, find_leaks, leaked_items, plain_words, retrieve, words
 
 RNG = random.Random(11)
@@ -108,6 +110,16 @@ def test_short_passages_are_found_as_a_whole():
     assert got == {(0, 1), (1, 2), (3, 2), (3, 3), (4, 4)} - {(3, 2)}
 
 
+def test_very_long_texts(monkeypatch):
+    index = build_index(ITEMS)
+    filler = " ".join(text(3_000))
+    long = filler + " " + ITEMS[7][2] + " " + filler + " " + ITEMS[20][2] + " " + filler
+    want = {(0, 7), (0, 20)}
+    assert {(d, index.items[i]) for d, i, *_ in find_leaks(index, [long, "", None])} == want
+    monkeypatch.setattr(leakage, "pieces", lambda t: pieces(t, 500))
+    assert {(d, index.items[i]) for d, i, *_ in find_leaks(index, [long, "", None])} == want
+
+
 def test_common_words():
     a, b = np.array([1, 2, 3, 4, 5]), np.array([9, 1, 3, 2, 4, 5, 5])
     assert common_words(a, b) == 4 and common_words(a, a) == 5 and common_words(a, np.zeros(0, int)) == 0
