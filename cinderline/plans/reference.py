@@ -20,6 +20,7 @@ from ..operators import training as Tr
 from ..schema import BRIGHTNESS, FIRE_COLUMNS, GREENNESS, INTERCEPTS, LEGEND, OLI_BANDS, OPTICAL, SCHEME_A, SCHEME_B, SLOPES, TM_BANDS, WETNESS, catalogue_rows
 from ..session import scratch_folder
 from ..sources.tables import bbox_overlap, one_record, table, write_csv, write_table
+from ..streaming.live import run_to_end, stream_table, windowed_summary
 from .training_data import DAY_SQL, FIRE_SQL
 
 ROUND = 12  # digits of results that sum in no fixed order
@@ -461,6 +462,18 @@ def points_union_meta(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("point_id", "class", "fire_id", "polygon_id", "description", "pre_lwr", "pre_upr", "post_lwr", "post_upr_long", "post_upr_short", "has_polygon")
 
 
+def stream_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as a stream: days per kind that the watermark has closed, from the files that the stream wrote."""
+    path = f"{folder}/events.parquet*"
+    stream = stream_table(spark, path, spark.read.parquet(path).schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    days = windowed_summary(stream, ts="ts", by=["event_type"], value="value", width="1 day", lateness=f"{LATE_HOURS} hours")
+    place = scratch_folder(spark, "stream_days")
+    run_to_end(days, f"{place}/out", f"{place}/state")
+    return spark.read.schema(days.schema).parquet(f"{place}/out").select("event_type", F.col("start").cast("date").alias("day"), "n", F.round("mean", 9).alias("mean"), "low", "high")
+
+
+LATE_HOURS = 6
+
 QUERIES = {
     "ts_features": ts_features,
     "ts_features_array": ts_features_array,
@@ -494,6 +507,7 @@ QUERIES = {
     "point_chart": point_chart,
     "points_union_meta": points_union_meta,
     "click_panel": click_panel,
+    "stream_days": stream_days,
     "landsat_region": landsat_region,
     "scene_period": scene_period,
     "lulc_legend": lulc_legend,
@@ -571,6 +585,9 @@ SELECT point_id, strftime(day, '%Y-%m-%d') AS date, CASE WHEN day BETWEEN pre_lw
     "points_union_meta": f"""WITH {POINTS_SQL}, {_values()} SELECT point_id, class, CASE WHEN k IS NULL THEN NULL ELSE printf('fire_%02d', k) END AS fire_id, c.polygon_id, c.description,
 CAST(c.pre_upr + 1 - INTERVAL 12 MONTH AS DATE) AS pre_lwr, c.pre_upr, c.post_lwr, c.post_upr_long, c.post_upr_short, c.polygon_id IS NOT NULL AS has_polygon
 FROM points p LEFT JOIN c ON c.fire_id = printf('fire_%02d', p.k) WHERE class IN ('burned', 'unburned')""",
+    "stream_days": f"""WITH d AS (SELECT event_type, date_trunc('day', ts)::TIMESTAMP AS start, value FROM events)
+SELECT event_type, CAST(start AS DATE) AS day, count(value) AS n, round(avg(value), 9) AS mean, min(value) AS low, max(value) AS high FROM d
+WHERE start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL {LATE_HOURS} HOUR FROM events) GROUP BY event_type, start""",
     "click_panel": f"""WITH {READINGS_SQL}, {FIRES_SQL}, n AS (SELECT pixel_id FROM training_locations WHERE lon IS NOT NULL AND lat IS NOT NULL AND pixel_id IS NOT NULL
   ORDER BY pow(lon - ({CLICK[0]}::DOUBLE), 2) + pow(lat - ({CLICK[1]}::DOUBLE), 2), pixel_id LIMIT 1),
 p AS (SELECT pixel_id, {FIRE_SQL.format("min_by(fire_id, point_id)")} AS k FROM training_locations JOIN n USING (pixel_id) GROUP BY pixel_id),

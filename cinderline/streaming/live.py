@@ -24,6 +24,11 @@ def windowed_summary(stream: DataFrame, *, ts: str, by: list[str], value: str, w
     return out.select(*by, F.col("window.start").alias("start"), F.col("window.end").alias("end"), "n", "mean", "low", "high")
 
 
+def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Takes in all that is there, appends the closed windows to path and stops; a later run goes on from the checkpoint."""
+    stream.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def refresh_touched(stream: DataFrame, *, history: Callable[[], DataFrame], key: str, features: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
     """Recomputes the features of the keys in each micro-batch over their whole history and writes them to path/batch=N.
 
