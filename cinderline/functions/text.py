@@ -36,6 +36,8 @@ def parse_date(col: Column | str) -> Column:
 
     Where the year stands last, the day comes first. Anything else, null, and days that do not exist give null.
     The plain layout is told by its length and hyphens; only other texts are trimmed (once) and matched with patterns.
+    The lambda keeps the patterns out of the generated code: inlined wherever a day is used, they make methods too large for the
+    JVM to compile, at three times the cost.
     """
     c = F.col(col) if isinstance(col, str) else col
     plain = (F.length(c) == 10) & (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-")
