@@ -265,7 +265,8 @@ def flag_faults(readings: DataFrame, *, source: str, day: Column, value: str, ke
     """
     rows = readings.select(F.col(source).alias("source"), F.datediff(day, F.lit("1970-01-01").cast("date")).alias("day"), F.col(value).cast("double").alias("value"), F.col(key).alias("key"))
     usable = F.col("value").between(rules.low, rules.high)
-    rows = rows.where(F.col("value").isNotNull() & F.col("key").isNotNull() & ((F.col("day").isNotNull() & F.col("source").isNotNull()) | ~usable | F.isnan("value")))
+    # rows without a day go along, as a filter on it here would work the days out twice; judge leaves them out
+    rows = rows.where(F.col("value").isNotNull() & F.col("key").isNotNull() & (F.col("source").isNotNull() | ~usable | F.isnan("value")))
     sizes = readings.where(F.col(source).isNotNull()).groupBy(F.col(source).alias("source")).count().where(F.col("count") > max_series)
     hot = sizes.count()
     halo = 2 * rules.run + 8 * REACH  # for eight rounds; more is fetched if there are more
@@ -301,7 +302,7 @@ def _places(rows: DataFrame, hot_sources: DataFrame, hot: int, width: int, rules
     busy, cool = rows.join(hot_sources, "source", "left_semi"), rows.join(hot_sources, "source", "left_anti")
     usable = F.col("value").between(rules.low, rules.high)
     aside = busy.where(~usable).select("key", F.lit("bounds").alias("fault"))
-    one = busy.where(usable).groupBy("source", "key").agg(F.min(F.struct("day", "value")).alias("r")).select("source", "r.day", "r.value", "key")
+    one = busy.where(usable & F.col("day").isNotNull()).groupBy("source", "key").agg(F.min(F.struct("day", "value")).alias("r")).select("source", "r.day", "r.value", "key")
     # the place of a reading in its source: its place in the part of a range-partitioned table, after those of earlier parts
     one = cut_lineage(one.repartitionByRange("source", "day", "key").sortWithinPartitions("source", "day", "key").withColumn("id", F.monotonically_increasing_id()))
     one = one.withColumn("part", F.shiftright("id", 33))
