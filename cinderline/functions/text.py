@@ -71,7 +71,12 @@ def fire_label(number: Column, digits: int = 3) -> Column:
     return F.when(number.isNotNull(), F.format_string(f"fire_%0{digits}d", number))
 
 
+PERIODS = ("Pre-fire", "Post-fire", "Background")
+
+
 def period_label(col: Column | str) -> Column:
-    """Pre-fire, Post-fire or Background from its spellings; null for anything else."""
-    letters = F.regexp_replace(F.lower(F.col(col) if isinstance(col, str) else col), "[^a-z]", "")
-    return F.when(letters == "prefire", "Pre-fire").when(letters == "postfire", "Post-fire").when(letters == "background", "Background")
+    """Pre-fire, Post-fire or Background from its spellings; null for anything else. Only what is not spelt so already is looked at with a pattern."""
+    c = F.col(col) if isinstance(col, str) else col
+    letters = F.regexp_replace(F.lower(c), "[^a-z]", "")
+    other = F.when(letters == "prefire", PERIODS[0]).when(letters == "postfire", PERIODS[1]).when(letters == "background", PERIODS[2])
+    return F.when(c.isin(*PERIODS), c).otherwise(other)
