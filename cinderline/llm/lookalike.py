@@ -23,11 +23,13 @@ def look_classes(documents: DataFrame, *, key: str, text: str) -> DataFrame:
 def lookalike_pairs(documents: DataFrame, *, key: str, text: str) -> DataFrame:
     """(key_a, key_b), smaller first: every two documents that look the same and are not equal character by character.
 
+    Documents with a null key cannot be named and make no pair; documents that share a key make none with each other.
+
     Forms, not documents, are paired within a look: exact copies, however many, are one form with its members, so a class
     of equal texts alone makes no pair, and the members are joined in only for forms that have a partner. Adaptive
     execution splits a form with very many members, as its rows on the other side are one per partner form.
     """
-    classes = cut_lineage(look_classes(documents, key=key, text=text))
+    classes = cut_lineage(look_classes(documents.where(F.col(key).isNotNull()), key=key, text=text))
     forms = classes.select("look", "form").distinct()
     several = forms.groupBy("look").agg(F.count("*").alias("k")).where("k > 1").select("look")
     members = cut_lineage(classes.join(several, "look", "left_semi"))  # looks of one form alone, that is most, go no further

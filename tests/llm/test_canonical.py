@@ -105,6 +105,12 @@ def test_pairs(spark):
     assert lookalike_pairs(docs(spark, []), key="doc_id", text="text").count() == 0
 
 
+def test_null_and_repeated_keys_make_no_pairs(spark):
+    rows = [(None, "año", "", ""), (1, "an\u0303o", "", ""), (1, "año", "", ""), (2, "año", "", ""), (None, "an\u0303o", "", "")]
+    got = lookalike_pairs(spark.createDataFrame(rows, SCHEMA), key="doc_id", text="text")
+    assert sorted(map(tuple, got.collect())) == [(1, 2)]
+
+
 def test_many_exact_copies_make_no_pairs(spark):
     texts = ["lo mismo"] * 5_000 + ["lo mismo"]
     got = lookalike_pairs(docs(spark, texts), key="doc_id", text="text")
