@@ -261,7 +261,7 @@ def flag_faults(readings: DataFrame, *, source: str, day: Column, value: str, ke
     of bounds first, and if more than max_series are left is cut into stretches of so many, each with the
     neighbouring readings of the stretches beside it. The scatters are those of the whole source, exactly, from
     several passes over its stretches, so max_series changes no result. Whether
-    such sources exist is one count per source; three numbers a round of each source that is cut go to the driver and nothing else.
+    such sources exist is one count per source; three numbers a round of each source that is cut (at most rows / max_series of them) go to the driver and nothing else.
     """
     rows = readings.select(F.col(source).alias("source"), F.datediff(day, F.lit("1970-01-01").cast("date")).alias("day"), F.col(value).cast("double").alias("value"), F.col(key).alias("key"))
     usable = F.col("value").between(rules.low, rules.high)
