@@ -19,7 +19,7 @@ from ..operators import timeutil as D
 from ..operators import training as Tr
 from ..schema import BRIGHTNESS, FIRE_COLUMNS, GREENNESS, INTERCEPTS, LEGEND, OLI_BANDS, OPTICAL, SCHEME_A, SCHEME_B, SLOPES, TM_BANDS, WETNESS, catalogue_rows
 from ..session import scratch_folder
-from ..sources.tables import bbox_overlap, one_record, table, write_csv, write_table
+from ..sources.tables import bbox_overlap, one_delivery, table, write_csv, write_table
 from ..streaming.live import run_to_end, stream_table, windowed_summary
 from .training_data import DAY_SQL, FIRE_SQL
 
@@ -315,7 +315,7 @@ def lulc_year(spark: SparkSession, folder: str) -> DataFrame:
 
 def veg_at_fire(spark: SparkSession, folder: str) -> DataFrame:
     """Class of each point's pixel in the year before its fire, and whether it could burn at all."""
-    points = one_record(table(spark, folder, "training_locations").select("point_id", "pixel_id", "fire_id", "loaded_at"), "point_id").withColumn("entity", fire_number("fire_id"))
+    points = one_delivery(table(spark, folder, "training_locations").select("point_id", "pixel_id", "fire_id", "loaded_at"), "point_id").withColumn("entity", fire_number("fire_id"))
     points = Tr.left_lookup(points, _fires(spark, folder).select("entity", "lulc_year"), "entity")
     wide = L.reclass(table(spark, folder, "lulc_wide"))
     out = points.join(wide, "pixel_id", "left")
@@ -337,7 +337,7 @@ def chart_pivot(spark: SparkSession, folder: str) -> DataFrame:
 def bbox_semijoin(spark: SparkSession, folder: str) -> DataFrame:
     """Points inside the rectangle of their fire, of fires whose rectangle touches one region."""
     fires = _fires(spark, folder).where(bbox_overlap(*REGION)).select("entity", "xmin", "ymin", "xmax", "ymax")
-    points = one_record(table(spark, folder, "training_locations").select("point_id", "fire_id", "lon", "lat", "loaded_at"), "point_id").withColumn("n", fire_number("fire_id"))
+    points = one_delivery(table(spark, folder, "training_locations").select("point_id", "fire_id", "lon", "lat", "loaded_at"), "point_id").withColumn("n", fire_number("fire_id"))
     f = fires.alias("f")
     inside = (F.col("n") == F.col("f.entity")) & F.col("lon").between(F.col("f.xmin"), F.col("f.xmax")) & F.col("lat").between(F.col("f.ymin"), F.col("f.ymax"))
     return points.join(f, inside, "left_semi").select("point_id")
@@ -347,13 +347,13 @@ REGION = (-72.5, -44.0, -69.0, -40.0)
 
 
 def point_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    points = one_record(table(spark, folder, "training_locations").select("point_id", "pixel_id", "loaded_at"), "point_id")
+    points = one_delivery(table(spark, folder, "training_locations").select("point_id", "pixel_id", "loaded_at"), "point_id")
     return S.point_means(S.of_points(_rows(spark, folder), table(spark, folder, "training_locations")).distinct(), points, "nbr").select("point_id", "n", F.round("nbr", ROUND).alias("nbr"))
 
 
 def point_chart(spark: SparkSession, folder: str) -> DataFrame:
     """Charted series of every labelled point: day, mean nbr, period by the windows of its fire."""
-    points = one_record(table(spark, folder, "training_locations").select("point_id", "pixel_id", "fire_id", "loaded_at"), "point_id").withColumn("entity", fire_number("fire_id"))
+    points = one_delivery(table(spark, folder, "training_locations").select("point_id", "pixel_id", "fire_id", "loaded_at"), "point_id").withColumn("entity", fire_number("fire_id"))
     points = Tr.left_lookup(points, _fires(spark, folder).select("entity", "pre_lwr", "pre_upr", "post_lwr", "post_end"), "entity").drop("fire_id", "loaded_at")
     obs = S.of_points(_rows(spark, folder), table(spark, folder, "training_locations")).distinct()
     period = D.period_tag(F.col("day"), F.col("pre_lwr"), F.col("pre_upr"), F.col("post_lwr"), F.col("post_end"))
@@ -453,7 +453,7 @@ def export_points(spark: SparkSession, folder: str) -> DataFrame:
 
 def points_union_meta(spark: SparkSession, folder: str) -> DataFrame:
     """Burned and unburned points with the catalogue's columns of their fire on each row."""
-    points = one_record(table(spark, folder, "training_locations").select("point_id", "class", "fire_id", "author", "loaded_at"), "point_id").withColumn("fire_id", fire_label(fire_number("fire_id"), 2))
+    points = one_delivery(table(spark, folder, "training_locations").select("point_id", "class", "fire_id", "author", "loaded_at"), "point_id").withColumn("fire_id", fire_label(fire_number("fire_id"), 2))
     points = points.drop("loaded_at")
     both = Tr.label_points(points.where("class = 'burned'"), points.where("class = 'unburned'"))
     fires = D.with_windows(Tr.fire_catalogue(spark)).select("fire_id", "polygon_id", "description", "pre_lwr", "pre_upr", "post_lwr", "post_upr_long", "post_upr_short")
