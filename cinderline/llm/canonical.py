@@ -229,7 +229,8 @@ def _restore(text: str) -> str:
         return text
     kinds = [_kind(w) for w in WORD.findall(text)]
     mostly = sum(k[1] for k in kinds) > sum(k[2] for k in kinds)
-    return WORD.sub(lambda m: _restored_word(m.group(), mostly), text)
+    # a letter that has no composed form in its script leaves a mark, which may have to change places with the next ones
+    return unicodedata.normalize("NFC", WORD.sub(lambda m: _restored_word(m.group(), mostly), text))
 
 
 def skeleton(text: str) -> str:

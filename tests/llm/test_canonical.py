@@ -68,6 +68,18 @@ def test_segments_give_what_whole_text_normalisation_gives(text):
     assert C.skeleton(text) == whole
 
 
+ANY = st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.characters(categories=["Mn", "Mc"]), st.sampled_from("aаαñйЁ\u0301\u0308")), max_size=12)
+
+
+@settings(max_examples=400, deadline=None)
+@given(ANY)
+def test_all_planes(text):
+    look, once = C.skeleton(text), C.canonical(text)
+    for form in ("NFC", "NFD"):
+        assert C.skeleton(unicodedata.normalize(form, text)) == look
+    assert C.skeleton(look) == look == C.skeleton(once) and C.canonical(once) == once and unicodedata.is_normalized("NFC", once)
+
+
 @settings(max_examples=100, deadline=None)
 @given(PIECES.map(lambda t: " ".join([t] * 4)))
 def test_pieces_of_a_long_text_give_what_the_whole_gives(text):
